@@ -2,10 +2,54 @@
 
 from __future__ import annotations
 
-from budgetloom.llm import packing, tokens
+from pyspark.sql import functions as F
+
+from budgetloom.llm import near, overlap, packing, repetition, sampling, tokens
 from budgetloom.session import table
 
 
+#: The likeness and the shingles that TESTDATA.md fixes for problems 2 and 3.
+LIKENESS, WORDS_IN_A_ROW = 0.7, 3
+
+
+def p1_found(spark, d):
+    return sampling.unmet(sampling.Plan(table(spark, d, "pool"), table(spark, d, "topic_targets")))
+
+
+def p1_sample(spark, d):
+    return sampling.draw(sampling.Plan(table(spark, d, "pool"), table(spark, d, "topic_targets")))
+
+
+def p1_report(spark, d):
+    plan = sampling.Plan(table(spark, d, "pool"), table(spark, d, "topic_targets"))
+    return sampling.report(plan, sampling.draw(plan))
+
+
+def _overlaps(spark, d):
+    return overlap.overlaps(table(spark, d, "pool"), "doc_id", "text", "split", LIKENESS, WORDS_IN_A_ROW)
+
+
+def p2_found(spark, d):
+    pairs = _overlaps(spark, d)
+    return pairs.select(F.least("eval_id", "train_id").alias("doc_id_a"), F.greatest("eval_id", "train_id").alias("doc_id_b")).distinct()
+
+
+def p2_containment(spark, d):
+    return _overlaps(spark, d).select("eval_id", "train_id", F.round("containment", 6).alias("containment"), F.round("likeness", 6).alias("likeness"))
+
+
+def p2_report(spark, d):
+    return overlap.overlap_report(_overlaps(spark, d), table(spark, d, "pool"), "doc_id", "split", "source")
+
+
+def p3_found(spark, d):
+    return near.pairs_in_groups(near.near_groups(table(spark, d, "pool"), "doc_id", "text", LIKENESS, WORDS_IN_A_ROW))
+
+
+def p3_groups(spark, d):
+    return near.near_groups(table(spark, d, "pool"), "doc_id", "text", LIKENESS, WORDS_IN_A_ROW).select(F.col("id").alias("doc_id"), "name", "group")
+
+
 def p4_found(spark, d):
     return tokens.wrong_counts(table(spark, d, "final"))
 
@@ -14,6 +58,14 @@ def p4_budget(spark, d):
     return tokens.token_budget(table(spark, d, "final"), table(spark, d, "pool"))
 
 
+def p6_found(spark, d):
+    return repetition.repeating(table(spark, d, "rewritten"), "rewrite_id", "rewritten").select("rewrite_id")
+
+
+def p6_shares(spark, d):
+    return repetition.shares(table(spark, d, "rewritten"), "rewrite_id", "rewritten").withColumn("share", F.round("share", 6))
+
+
 def p7_ids(spark, d):
     return tokens.encode_ids(table(spark, d, "documents"), "doc_id", "text")
 
