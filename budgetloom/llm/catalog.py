@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from budgetloom.llm import near, overlap, packing, repetition, sampling, tokens
+from budgetloom.llm import abuse, defects, near, overlap, packing, repetition, sampling, tokens
 from budgetloom.session import table
 
 
@@ -58,6 +58,18 @@ def p4_budget(spark, d):
     return tokens.token_budget(table(spark, d, "final"), table(spark, d, "pool"))
 
 
+def _labels(spark, d):
+    return defects.defect_labels(table(spark, d, "rewritten"), table(spark, d, "pool"))
+
+
+def p5_found(spark, d):
+    return defects.first_defect(_labels(spark, d))
+
+
+def p5_labels(spark, d):
+    return _labels(spark, d).select("rewrite_id", "defect", F.round("posterior", 4).alias("posterior"))
+
+
 def p6_found(spark, d):
     return repetition.repeating(table(spark, d, "rewritten"), "rewrite_id", "rewritten").select("rewrite_id")
 
@@ -79,6 +91,18 @@ def p8_report(spark, d):
     return packing.fill_report(packing.pack_documents(table(spark, d, "documents"), packs), packs)
 
 
+def p9_found(spark, d):
+    return abuse.abusive(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p9_scores(spark, d):
+    return abuse.scores(table(spark, d, "documents"), "doc_id", "text").groupBy("doc_id").agg(F.round(F.max("score"), 6).alias("score"))
+
+
+def p9_rates(spark, d):
+    return abuse.rates(table(spark, d, "documents"), "doc_id", "text", "source")
+
+
 def queries():
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 

@@ -57,6 +57,16 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(out, np.uint64), counts
 
 
+def hashes_of(words: list[list[str]]) -> np.ndarray:
+    """Hashes of the words of all lists, one list after another."""
+    if len(_hashes) > _STORE:
+        _hashes.clear()
+    of, out = _hashes.__getitem__, []
+    for w in words:
+        out.extend(map(of, w))
+    return np.array(out, np.uint64)
+
+
 def runs(hashes: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the run of n words that starts at each word, and whether it stays within its text."""
     total = len(hashes)
