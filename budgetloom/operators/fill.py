@@ -39,22 +39,37 @@ def budget_fill(df: DataFrame, order: list[Column], length: str, target: float |
     return df.withColumn("rn", F.row_number().over(w).cast("long")).withColumn("before_len", before).where(_kept(goal))
 
 
-def _two_phase(df: DataFrame, order: list[Column], length: str, goal: Column) -> DataFrame:
-    ranged = stash(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranged")
-    totals = ranged.groupBy("__part").agg(F.sum(length).alias("__sum"), F.count("*").alias("__rows"))
+def running_sum(df: DataFrame, order: list[Column], amount: str | Column) -> DataFrame:
+    """``df`` with ``rn`` (place from 1) and ``before_len`` (sum of ``amount`` before) in a total order.
+
+    Rows are range-partitioned by the order; each partition sends one total, and
+    the sums run inside partitions.
+    """
+    amount = amount if isinstance(amount, Column) else F.col(amount)
+    ranged = stash(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).withColumn("__amount", amount.cast("long")), "ranged")
+    return _joined(ranged, order, None)
+
+
+def _joined(ranged: DataFrame, order: list[Column], goal: Column | None) -> DataFrame:
+    totals = ranged.groupBy("__part").agg(F.sum("__amount").alias("__sum"), F.count("*").alias("__rows"))
     w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
     offsets = totals.select("__part", F.coalesce(F.sum("__sum").over(w), F.lit(0)).alias("__off"), F.coalesce(F.sum("__rows").over(w), F.lit(0)).alias("__rn"))
-    reached = offsets.where((F.col("__off") < goal) | (F.col("__rn") == 0))
+    if goal is not None:  # partitions beyond the target are never sorted
+        offsets = offsets.where((F.col("__off") < goal) | (F.col("__rn") == 0))
     inner = Window.partitionBy("__part").orderBy(*order)
-    rows = ranged.join(F.broadcast(reached), "__part")
+    rows = ranged.join(F.broadcast(offsets), "__part")
     return (
         rows.withColumn("rn", (F.row_number().over(inner) + F.col("__rn")).cast("long"))
-        .withColumn("before_len", (F.coalesce(F.sum(length).over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("__off")).cast("long"))
-        .where(_kept(goal))
-        .drop("__part", "__off", "__rn")
+        .withColumn("before_len", (F.coalesce(F.sum("__amount").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("__off")).cast("long"))
+        .drop("__part", "__amount", "__off", "__rn")
     )
 
 
+def _two_phase(df: DataFrame, order: list[Column], length: str, goal: Column) -> DataFrame:
+    ranged = stash(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).withColumn("__amount", F.col(length).cast("long")), "ranged")
+    return _joined(ranged, order, goal).where(_kept(goal))
+
+
 def hash_fill(df: DataFrame, key: str, length: str, group: list[str], quotas: DataFrame, seed: int, buckets: int = 1024) -> DataFrame:
     """Rows drawn at random in each group until their lengths reach its quota, the last one whole.
 
