@@ -29,6 +29,8 @@ from budgetloom.llm.shingles import MIN_WORDS, N, least_hashes, list_column, mix
 from budgetloom.session import stash
 
 SEGMENTS, GRIDS, ACROSS = 128, 36, 5
+#: Segments of which a part's bit count travels with a pair; the distance over them is a lower bound as well.
+COUNTED = 64
 #: A record is paired with so many before it in a cell, and with the cell's first.
 WINDOW = 15
 #: Slots of the bitmap that keeps texts without a candidate out of the shuffle: 1 MB at any size of the corpus.
@@ -42,7 +44,7 @@ def reach(likeness: float) -> int:
     a mean square of 8; parts of equal least hashes do not differ.
     """
     share = 1 - likeness
-    return int(SEGMENTS * share * 2.26 + 4.5 * (SEGMENTS * (8 * share - (2.26 * share) ** 2)) ** 0.5) + 1
+    return int(COUNTED * share * 2.26 + 4.5 * (COUNTED * (8 * share - (2.26 * share) ** 2)) ** 0.5) + 1
 
 
 def _grids() -> np.ndarray:
@@ -56,7 +58,7 @@ def embed(texts: list[str | None], n: int, min_words: int) -> tuple[np.ndarray,
     names = set_names(flat, sizes)
     prints = mix(least_hashes(flat, sizes, SEGMENTS, 11))
     counts = np.bitwise_count(prints.view(np.uint16)).reshape(len(prints), SEGMENTS, 4)
-    low = np.minimum(counts[:, :, 0], 15)
+    low = np.minimum(counts[:, :COUNTED, 0], 15)
     packed = low[:, 0::2] | low[:, 1::2] << 4
     point = counts.astype(np.uint64)
     point = point[:, :, 0] | point[:, :, 1] << np.uint64(5) | point[:, :, 2] << np.uint64(10) | point[:, :, 3] << np.uint64(15)
@@ -74,7 +76,7 @@ def signatures(df: DataFrame, key: str, text: str, n: int = N, min_words: int =
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         has, names, packed, cells = embed(batch.column(1).to_pylist(), n, min_words)
-        counts = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SEGMENTS // 2), len(names), [None, pa.py_buffer(np.ascontiguousarray(packed))]).cast(pa.binary())
+        counts = pa.FixedSizeBinaryArray.from_buffers(pa.binary(COUNTED // 2), len(names), [None, pa.py_buffer(np.ascontiguousarray(packed))]).cast(pa.binary())
         return pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(has)), pa.array(names), counts, list_column(cells)], ["id", "name", "counts", "cells"])
 
     return over_batches(df.select(F.col(key).cast("long"), F.col(text)), run, "id long, name long, counts binary, cells array<long>", 1_000)
