@@ -24,8 +24,8 @@ from budgetloom.llm.arrow import over_batches
 from budgetloom.llm.shingles import mix, runs, word_hashes
 
 RUN, SHARE = 6, 0.3
-WORD_ORDERS, CHAR_ORDERS = (1, 2, 3, 4, 6), (8, 16)
-BUCKETS = 512
+WORD_ORDERS, HASHED_WORDS, CHARS = (1, 3, 6), 1, 5
+BUCKETS = 256
 #: Rows of the labelled sample at most, half of them held out.
 SAMPLE_ROWS = 4_000
 
@@ -58,6 +58,20 @@ def _rate(flag: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(owner[flag], minlength=n) / np.maximum(1, total)
 
 
+def _char_grams(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of the character n-grams that lie within a text, where these begin)."""
+    last = max(0, len(data) - CHARS + 1)
+    acc = np.zeros(last, np.uint32)
+    for k in range(CHARS):
+        acc = acc * np.uint32(0x01000193) + data[k : k + last]
+    acc = acc * np.uint32(0x9E3779B1) >> np.uint32(24)
+    inside = np.ones(last, bool)
+    for k in range(1, CHARS):  # n-grams that run over the end of a text
+        over = np.cumsum(sizes) - k
+        inside[over[(over >= 0) & (over < last)]] = False
+    return acc[inside].astype(np.int64) % BUCKETS, inside
+
+
 def inputs(texts: list[str | None], hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """(dense inputs of each text, [(bucket, text) of hashed n-grams] for words and for characters)."""
     n = len(texts)
@@ -67,18 +81,12 @@ def inputs(texts: list[str | None], hashes: np.ndarray, counts: np.ndarray) -> t
         gram, inside = runs(hashes, counts, k)
         g, o = gram[inside], owner[inside]
         dense.append(_rate(_later(g, o), o, n))
-        if k == 2:
+        if k == HASHED_WORDS:
             hashed.append(((g >> np.uint64(40)).astype(np.int64) % BUCKETS, o))
     raw = [(t or "").encode("utf-8", "replace") for t in texts]
     sizes = np.fromiter(map(len, raw), np.int64, n)
-    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
-    for k in CHAR_ORDERS:
-        gram, inside = runs(data, sizes, k)
-        o = np.repeat(np.arange(n), sizes)[inside]
-        g = gram[inside]
-        dense.append(_rate(_later(g, o), o, n))
-        if k == CHAR_ORDERS[0]:
-            hashed.append(((g >> np.uint64(40)).astype(np.int64) % BUCKETS, o))
+    bucket, inside = _char_grams(np.frombuffer(b"".join(raw), np.uint8), sizes)
+    hashed.append((bucket, np.repeat(np.arange(n), sizes)[: len(inside)][inside]))
     return np.stack(dense, 1), hashed
 
 
@@ -137,11 +145,11 @@ def train(texts: list[str | None], share: float = SHARE) -> Model:
     if not (0 < label[fit].sum() < fit.sum() and 0 < label[~fit].sum() < (~fit).sum()):
         return blank
     x = np.column_stack([(dense - mean) / spread, _frequencies(hashed, len(texts))])
-    w = _fit(x[fit], label[fit], 0.01, 30)
+    w = _fit(x[fit], label[fit], 0.01, 12)
     d = dense.shape[1]
     model = Model(np.append(w[:d], w[-1]), w[d:-1].reshape(2, BUCKETS), (mean, spread), (1.0, 0.0), 0.0, {})
     z = model.logit(dense, hashed)[~fit]
-    a, b = _fit((z / (np.abs(z).max() + 1e-9))[:, None], label[~fit], 1e-3, 50)
+    a, b = _fit((z / (np.abs(z).max() + 1e-9))[:, None], label[~fit], 1e-3, 20)
     model.platt = (max(a, 1e-9) / (np.abs(z).max() + 1e-9), b)
     p = model.probability(dense, hashed)[~fit]
     positive = label[~fit] > 0
