@@ -71,15 +71,17 @@ def embed(texts: list[str | None], n: int, min_words: int) -> tuple[np.ndarray,
     return sizes > 0, names, packed, cells
 
 
-def signatures(df: DataFrame, key: str, text: str, n: int = N, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, name, counts, cells) of every row that has shingles."""
+def signatures(df: DataFrame, key: str, text: str, n: int = N, min_words: int = MIN_WORDS, side: str | None = None) -> DataFrame:
+    """(id, side, name, counts, cells) of every row that has shingles; side is a column of strings, or null."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        has, names, packed, cells = embed(batch.column(1).to_pylist(), n, min_words)
+        has, names, packed, cells = embed(batch.column(2).to_pylist(), n, min_words)
         counts = pa.FixedSizeBinaryArray.from_buffers(pa.binary(COUNTED // 2), len(names), [None, pa.py_buffer(np.ascontiguousarray(packed))]).cast(pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(has)), pa.array(names), counts, list_column(cells)], ["id", "name", "counts", "cells"])
+        kept = pa.array(has)
+        return pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept), pa.array(names), counts, list_column(cells)], ["id", "side", "name", "counts", "cells"])
 
-    return over_batches(df.select(F.col(key).cast("long"), F.col(text)), run, "id long, name long, counts binary, cells array<long>", 1_000)
+    columns = [F.col(key).cast("long").alias("id"), (F.col(side) if side else F.lit(None).cast("string")).alias("side"), F.col(text).alias("text")]
+    return over_batches(df.select(*columns), run, "id long, side string, name long, counts binary, cells array<long>", 1_000)
 
 
 def _pairs_of_cells(window: int):
@@ -142,43 +144,57 @@ def within_reach(pairs: DataFrame, counts: DataFrame, likeness: float) -> DataFr
     return over_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ca", "cb"), run, "a long, b long", 20_000)
 
 
+def bitmap_of(slots: DataFrame, size: int) -> np.ndarray:
+    """The slots (one column, from 0 below ``size``) as words of 64 bits, gathered as at most size / 64 numbers."""
+    s = F.col(slots.columns[0])
+    words = slots.groupBy(F.shiftright(s, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({slots.columns[0]} & 63 as int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(size >> 6, np.int64)
+    bitmap[words["w"].to_numpy()] = words["bits"].to_numpy()
+    return bitmap
+
+
 def texts_of(df: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(name, text) of the wanted rows (id, name), once a name.
+    """(id, text) of the wanted ids, and of few others.
 
     A bitmap of fixed size, made from the hashes of the wanted ids, keeps the
-    other texts out of the shuffle; the join then drops what passed by chance.
+    other texts out of the shuffle; what passes by chance finds no partner in
+    the join that follows.
     """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-    words = wanted.select(slot(F.col("id")).alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits"))
-    bitmap = np.zeros(SLOTS >> 6, np.int64)
-    for w, bits in words.toLocalIterator():
-        bitmap[w] = bits
+    bitmap = bitmap_of(wanted.select(slot(F.col("id")).alias("s")), SLOTS)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = batch.column(2).to_numpy()
         return batch.select([0, 1]).filter(pa.array((bitmap[s >> 6] >> (s & 63)) & 1 == 1))
 
-    passed = over_batches(df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), slot(F.col(key).cast("long")).alias("s")), run, "id long, text string", 10_000)
-    return passed.join(wanted, "id").groupBy("name").agg(F.first("text").alias("text"))
+    return over_batches(df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), slot(F.col(key).cast("long")).alias("s")), run, "id long, text string", 10_000)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, n: int = N, min_words: int = MIN_WORDS) -> DataFrame:
-    """(a, b, n_both, n_a, n_b): exact shingle counts of the pairs of names, on whole texts."""
+def verify(df: DataFrame, key: str, text: str, pairs: DataFrame, members: DataFrame, n: int = N, min_words: int = MIN_WORDS) -> DataFrame:
+    """(a, b, n_both, n_a, n_b): exact shingle counts of the pairs of names, on whole texts.
+
+    Each name is stood for by its least id; texts are shuffled once, by id.
+    """
+    ends = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
+    wanted = stash(members.groupBy("name").agg(F.min("id").alias("id")).join(ends, "name").select("id", "name"), "wanted")
+    texts = texts_of(df, key, text, wanted)
+    known = pairs.join(wanted.select(F.col("name").alias("a"), F.col("id").alias("ia")), "a").join(wanted.select(F.col("name").alias("b"), F.col("id").alias("ib")), "b")
+    left = texts.select(F.col("id").alias("ia"), F.col("text").alias("ta"))
+    right = texts.select(F.col("id").alias("ib"), F.col("text").alias("tb"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         both, na, nb = shared(batch.column(2).to_pylist(), batch.column(3).to_pylist(), n, min_words)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both), pa.array(na), pa.array(nb)], ["a", "b", "n_both", "n_a", "n_b"])
 
-    left = texts.select(F.col("name").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("name").alias("b"), F.col("text").alias("tb"))
-    return over_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "a long, b long, n_both long, n_a long, n_b long", 1_000)
+    joined = known.join(left, "ia").join(right, "ib").select("a", "b", "ta", "tb")
+    # rows that the table repeats come out repeatedly here
+    return over_batches(joined, run, "a long, b long, n_both long, n_a long, n_b long", 1_000).distinct()
 
 
 def exact_links(df: DataFrame, key: str, text: str, pairs: DataFrame, members: DataFrame, likeness: float, n: int, min_words: int) -> DataFrame:
     """The pairs (a, b of names) of at least ``likeness``, with their counts."""
-    ends = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
-    wanted = stash(members.groupBy("name").agg(F.min("id").alias("id")).join(ends, "name").select("id", "name"), "wanted")
-    return verify(pairs, texts_of(df, key, text, wanted), n, min_words).where(F.col("n_both") >= F.lit(likeness) * (F.col("n_a") + F.col("n_b") - F.col("n_both")))
+    counted = verify(df, key, text, pairs, members, n, min_words)
+    return counted.where(F.col("n_both") >= F.lit(likeness) * (F.col("n_a") + F.col("n_b") - F.col("n_both")))
 
 
 def near_groups(df: DataFrame, key: str, text: str, likeness: float = 0.8, n: int = N, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
