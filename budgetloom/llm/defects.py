@@ -87,7 +87,7 @@ def refusal_votes(answer: str, words: list[str], known: set[str], first: str) ->
     unable, task = bool(_UNABLE.search(first)), bool(_TASKS.search(first))
     foreign, said = bool(_FOREIGN.search(first)), bool(_SAID.search(first))
     return [
-        1 if _OPENS.match(answer) and (unable or task) else 0 if _OPENS.match(answer) or foreign else -1,
+        1 if _OPENS.match(answer) and (unable or task) and not said else 0 if (_OPENS.match(answer) and not said) or foreign else -1,
         1 if unable and task else 1 if short and unable and held < 0.5 and not said else -1,
         1 if short and (_ASKS.search(answer)) else 0,
         1 if foreign and short and held < 0.5 else 0,
