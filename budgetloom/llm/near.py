@@ -33,6 +33,8 @@ SEGMENTS, GRIDS, ACROSS = 128, 36, 5
 COUNTED = 64
 #: A record is paired with so many before it in a cell, and with the cell's first.
 WINDOW = 15
+#: Slots of a bitmap of cells: 2 MB at any size of the corpus; a fuller one lets more through and loses nothing.
+KEY_SLOTS = 1 << 24
 #: Slots of the bitmap that keeps texts without a candidate out of the shuffle: 1 MB at any size of the corpus.
 SLOTS = 1 << 23
 
@@ -153,6 +155,17 @@ def bitmap_of(slots: DataFrame, size: int) -> np.ndarray:
     return bitmap
 
 
+def scan(keys: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows (cell, name) whose cell hits the bitmap of the wanted cells, and a few by chance; no shuffle."""
+    bitmap = bitmap_of(wanted.select(F.col("cell").bitwiseAND(F.lit(KEY_SLOTS - 1)).alias("s")), KEY_SLOTS)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        s = batch.column(0).to_numpy() & (KEY_SLOTS - 1)
+        return batch.filter(pa.array((bitmap[s >> 6] >> (s & 63)) & 1 == 1))
+
+    return over_batches(keys, run, "cell long, name long", 100_000)
+
+
 def texts_of(df: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
     """(id, text) of the wanted ids, and of few others.
 
@@ -217,7 +230,7 @@ def near_groups(df: DataFrame, key: str, text: str, likeness: float = 0.8, n: in
     groups = components(links)
     long_cells = found.where("cell is not null").select("cell").distinct()
     if not long_cells.isEmpty():
-        of = cells.join(long_cells, "cell", "left_semi").distinct().join(groups.withColumnRenamed("node", "name"), "name", "left")
+        of = scan(cells, long_cells).join(long_cells, "cell", "left_semi").distinct().join(groups.withColumnRenamed("node", "name"), "name", "left")
         of = stash(of.select("cell", "name", F.coalesce("component", "name").alias("g")), "long-cells")
         # only cells whose records are not all linked yet, and only pairs between their groups
         open_cells = of.groupBy("cell").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("cell")
