@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from budgetloom.llm import abuse, defects, near, overlap, packing, repetition, sampling, tokens
+from budgetloom.llm.oracle import SQL
 from budgetloom.session import table
 
 
@@ -108,4 +109,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return dict(SQL)
