@@ -24,7 +24,7 @@ def assemble(passes: DataFrame, key: Column, target: float | Column, group: list
     kept and nothing is padded.
     """
     order = [F.col("tier").asc(), key, F.col("doc_id").asc(), F.col("rewrite_id").asc()]
-    return budget_fill(completed(passes), order, "len", target, group, method if not group else "window")
+    return budget_fill(completed(passes), order, "len", target, group, method)
 
 
 def accounting(kept: DataFrame, by: list[str]) -> DataFrame:

@@ -1,11 +1,10 @@
 """The budget fill: in a total order, keep rows until the running length reaches a target, the last one whole.
 
 ``budget_fill`` has three physical forms with one result.  ``window`` is one
-running sum; with a global order Spark sorts all rows in one task, so it is for
-narrow tables or for fills by group.  ``two_phase`` range-partitions by the
-order, sums each partition, and runs the sum only inside partitions, so that no
-task ever holds more than its share; of each partition one total reaches the
-driver.  ``hash_fill`` is the two-phase form for random orders: hash buckets
+running sum: a global order, or a hot group, is sorted in one task, so it is for
+small tables.  ``two_phase`` range-partitions by group and order, sums each
+partition, and runs the sum only inside partitions, so that no task ever holds
+more than its share, whatever a group's size.  ``hash_fill`` is the two-phase form for random orders: hash buckets
 are summed first and only rows of a bucket are sorted together.
 """
 
@@ -30,9 +29,10 @@ def budget_fill(df: DataFrame, order: list[Column], length: str, target: float |
     constant within a group.
     """
     goal = target if isinstance(target, Column) else F.lit(target)
-    if method == "two_phase" and not partition_by:
-        return _two_phase(df, order, length, goal)
-    if method not in ("window", "two_phase"):
+    if method == "two_phase":
+        ranged = _ranged(df, order, F.col(length), partition_by or [])
+        return _summed(ranged, order, partition_by or [], None if isinstance(target, Column) else goal).where(_kept(goal))
+    if method != "window":
         raise ValueError(f"no method {method!r}")
     w = Window.partitionBy(*(partition_by or [])).orderBy(*order)
     before = F.coalesce(F.sum(length).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")
@@ -45,19 +45,25 @@ def running_sum(df: DataFrame, order: list[Column], amount: str | Column) -> Dat
     Rows are range-partitioned by the order; each partition sends one total, and
     the sums run inside partitions.
     """
-    amount = amount if isinstance(amount, Column) else F.col(amount)
-    ranged = stash(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).withColumn("__amount", amount.cast("long")), "ranged")
-    return _joined(ranged, order, None)
+    return _summed(_ranged(df, order, amount if isinstance(amount, Column) else F.col(amount), []), order, [], None)
 
 
-def _joined(ranged: DataFrame, order: list[Column], goal: Column | None) -> DataFrame:
-    totals = ranged.groupBy("__part").agg(F.sum("__amount").alias("__sum"), F.count("*").alias("__rows"))
-    w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
-    offsets = totals.select("__part", F.coalesce(F.sum("__sum").over(w), F.lit(0)).alias("__off"), F.coalesce(F.sum("__rows").over(w), F.lit(0)).alias("__rn"))
+def _ranged(df: DataFrame, order: list[Column], amount: Column, group: list[str]) -> DataFrame:
+    """The rows written in range partitions of group and order: a hot group lies in as many as it fills."""
+    spread = df.repartitionByRange(*(F.col(g) for g in group), *order)
+    return stash(spread.withColumn("__part", F.spark_partition_id()).withColumn("__amount", amount.cast("long")), "ranged")
+
+
+def _summed(ranged: DataFrame, order: list[Column], group: list[str], goal: Column | None) -> DataFrame:
+    keys = ["__part", *group]
+    totals = ranged.groupBy(*keys).agg(F.sum("__amount").alias("__sum"), F.count("*").alias("__rows"))
+    w = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition that a group lies in
+    offsets = totals.select(*keys, F.coalesce(F.sum("__sum").over(w), F.lit(0)).alias("__off"), F.coalesce(F.sum("__rows").over(w), F.lit(0)).alias("__rn"))
     if goal is not None:  # partitions beyond the target are never sorted
         offsets = offsets.where((F.col("__off") < goal) | (F.col("__rn") == 0))
-    inner = Window.partitionBy("__part").orderBy(*order)
-    rows = ranged.join(F.broadcast(offsets), "__part")
+    inner = Window.partitionBy(*keys).orderBy(*order)
+    # without groups there is one row a partition; with groups the join has the window's keys and costs no further shuffle
+    rows = ranged.join(offsets if group else F.broadcast(offsets), keys)
     return (
         rows.withColumn("rn", (F.row_number().over(inner) + F.col("__rn")).cast("long"))
         .withColumn("before_len", (F.coalesce(F.sum("__amount").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("__off")).cast("long"))
@@ -65,11 +71,6 @@ def _joined(ranged: DataFrame, order: list[Column], goal: Column | None) -> Data
     )
 
 
-def _two_phase(df: DataFrame, order: list[Column], length: str, goal: Column) -> DataFrame:
-    ranged = stash(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).withColumn("__amount", F.col(length).cast("long")), "ranged")
-    return _joined(ranged, order, goal).where(_kept(goal))
-
-
 def hash_fill(df: DataFrame, key: str, length: str, group: list[str], quotas: DataFrame, seed: int, buckets: int = 1024) -> DataFrame:
     """Rows drawn at random in each group until their lengths reach its quota, the last one whole.
 

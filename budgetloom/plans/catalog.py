@@ -21,7 +21,7 @@ from budgetloom.operators.fill import budget_fill, running_sum
 from budgetloom.operators.ranking import order_desc, percentile_vs_reference, tie_percentile
 from budgetloom.plans import oracle as o
 from budgetloom.plans.tables import passes, scored, second_scores, texts, topic_of
-from budgetloom.session import stash, table
+from budgetloom.session import map_arrow, stash, table
 from budgetloom.streaming import leases
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,7 +104,7 @@ class Selection:
 
     def by_topic(self) -> DataFrame:
         with_quota = self.residual().join(F.broadcast(self.quotas().select("topic", "quota")), "topic")  # one row for each topic
-        return budget_fill(with_quota, order_desc("q", F.col("tie"), "doc_id"), "len", F.col("quota"), ["topic"])
+        return budget_fill(with_quota, order_desc("q", F.col("tie"), "doc_id"), "len", F.col("quota"), ["topic"], "two_phase")
 
     def candidates(self) -> DataFrame:
         """Union of three fills, each with its membership as a flag."""
@@ -413,7 +413,7 @@ def fill_prefix(spark, d):
 def fill_desc(spark, d):
     """The fill by group."""
     rows = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_quantity").cast("long").alias("len"))
-    return budget_fill(rows, [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(), F.col("l_linenumber").asc()], "len", 300, ["l_suppkey"]).select("l_suppkey", "l_orderkey", "l_linenumber", "rn", "before_len")
+    return budget_fill(rows, [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(), F.col("l_linenumber").asc()], "len", 300, ["l_suppkey"], "two_phase").select("l_suppkey", "l_orderkey", "l_linenumber", "rn", "before_len")
 
 
 @query("SELECT doc_id, rn AS place FROM by_score", "by_score")
@@ -822,7 +822,7 @@ def _rewritten_sql(share: float, lead: str) -> str:
 
 
 def _rewrite(spark, d, share: float, lead: str) -> DataFrame:
-    out = texts(spark, d).select("doc_id", "text").mapInArrow(rewriter(share, lead), "doc_id long, rewritten string")
+    out = map_arrow(texts(spark, d).select("doc_id", "text"), rewriter(share, lead), "doc_id long, rewritten string")
     return out.select("doc_id", long(F.length("rewritten"), "n_chars"), F.md5("rewritten").alias("md5"))
 
 

@@ -12,9 +12,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.storagelevel import StorageLevel  # noqa: F401  (re-exported for callers)
 
 _written: list[str] = []
 
@@ -68,6 +70,27 @@ def _clean() -> None:
             shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context, wherever they run and whatever their path is."""
+    context = spark.sparkContext
+    if getattr(context, "_budgetloom_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="budgetloom-code-")  # on the driver; Spark's file server hands it out
+    atexit.register(shutil.rmtree, folder, True)
+    root = Path(__file__).resolve().parent
+    with zipfile.ZipFile(f"{folder}/budgetloom_code.zip", "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    context.addPyFile(f"{folder}/budgetloom_code.zip")
+    context._budgetloom_shipped = True
+
+
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table: a parquet file, or a folder of them."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -51,9 +51,17 @@ def test_running_sum_counts_places(spark):
     assert [(r["k"], r["rn"], r["before_len"]) for r in got] == [(2, 1, 0), (1, 2, 7), (0, 3, 8)]
 
 
-def test_by_group_with_quota_column(spark):
+@pytest.mark.parametrize("method", ["window", "two_phase"])
+def test_by_group_with_quota_column(spark, method):
     df = spark.createDataFrame([("a", 1, 10, 15.0), ("a", 2, 10, 15.0), ("a", 3, 10, 15.0), ("b", 4, 1, 0.0)], "g string, k long, n long, q double")
-    assert {r["k"] for r in budget_fill(df, [F.col("k").asc()], "n", F.col("q"), ["g"]).collect()} == {1, 2, 4}
+    assert {r["k"] for r in budget_fill(df, [F.col("k").asc()], "n", F.col("q"), ["g"], method).collect()} == {1, 2, 4}
+
+
+def test_hot_group_in_two_phases(spark):
+    df = spark.range(4000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.pmod("id", F.lit(50)))).alias("g"), (F.col("id") % 7 + 1).alias("n"))
+    order = [(F.col("k") % 11).desc(), F.col("k").asc()]
+    a, b = (sorted(tuple(r) for r in budget_fill(df.repartition(6), order, "n", 90, ["g"], m).select("k", "rn", "before_len").collect()) for m in ("window", "two_phase"))
+    assert a == b
 
 
 def test_hash_fill_reaches_quota_and_floor(spark):
