@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from budgetloom.session import map_arrow
+
 #: Rows a function sees at once; it bounds a worker's memory and changes no result.
 ROWS_AT_ONCE = 2_000
 
@@ -21,7 +23,7 @@ def over_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBa
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def batch_of(**columns) -> pa.RecordBatch:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from budgetloom.session import stash
+from budgetloom.session import map_arrow, stash
 
 #: Links that a task contracts at once; bounds memory and changes no result.
 LINKS_AT_ONCE = 200_000
@@ -60,7 +60,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     not matter, a null end drops the link.  An empty table gives an empty one.
     """
     edges = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = stash(edges.mapInArrow(_contract, "a long, b long").distinct(), "links")
+    edges = stash(map_arrow(edges, _contract, "a long, b long").distinct(), "links")
     mark = _mark(edges)
     for _ in range(rounds):
         if mark[0] == 0:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from budgetloom.llm.arrow import over_batches
 from budgetloom.llm.graph import components
 from budgetloom.llm.shingles import MIN_WORDS, N, least_hashes, list_column, mix, set_names, shared, shingle_sets
-from budgetloom.session import stash
+from budgetloom.session import map_arrow, stash
 
 SEGMENTS, GRIDS, ACROSS = 128, 36, 5
 #: Segments of which a part's bit count travels with a pair; the distance over them is a lower bound as well.
@@ -223,7 +223,7 @@ def near_groups(df: DataFrame, key: str, text: str, likeness: float = 0.8, n: in
     members = signed.select("id", "name").distinct()
     cells = signed.select(F.explode("cells").alias("cell"), "name")
     sorted_cells = cells.repartition("cell").sortWithinPartitions("cell", "name")
-    found = stash(sorted_cells.mapInArrow(_pairs_of_cells(window), "a long, b long, cell long").distinct(), "cell-pairs")
+    found = stash(map_arrow(sorted_cells, _pairs_of_cells(window), "a long, b long, cell long").distinct(), "cell-pairs")
     counts = signed.select("name", "counts").dropDuplicates(["name"])
     pairs = stash(within_reach(found.where("a is not null").select("a", "b"), counts, likeness), "pairs")
     links = stash(exact_links(df, key, text, pairs, members, likeness, n, min_words).select("a", "b"), "links")

@@ -94,7 +94,7 @@ def token_budget(final: DataFrame, pool: DataFrame, path: str | None = None) ->
     )
 
 
-def salted_rank(df: DataFrame, group: list[str], order: list[str], salts: int = 32) -> DataFrame:
+def salted_rank(df: DataFrame, group: list[str], order: list[str], salts: int = 256) -> DataFrame:
     """``df`` with ``rank``, counting from 0 in each group, without one task for a hot group.
 
     Rows are numbered in (group, salt) and moved on by the counts of the salts
