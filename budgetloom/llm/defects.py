@@ -370,7 +370,8 @@ def votes_table(rewritten: DataFrame, pool: DataFrame) -> DataFrame:
     """
     sources = pool.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").alias("source_text"))
     rows = rewritten.select("rewrite_id", "doc_id", F.col("rewritten").alias("answer"), F.col("status").cast("int").alias("status"), "finish_reason")
-    joined = rows.join(sources, "doc_id", "left").select("rewrite_id", "answer", "source_text", "status", "finish_reason")
+    # never a broadcast of texts; the shuffle by document also spreads the judging over the cluster
+    joined = rows.join(sources.hint("merge"), "doc_id", "left").select("rewrite_id", "answer", "source_text", "status", "finish_reason")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = judge(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4)))
