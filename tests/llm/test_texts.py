@@ -188,3 +188,21 @@ def test_every_word_is_in_a_window():
 @pytest.mark.parametrize("a,b", [("f**k off", "fuck off"), ("i d i o t here", "idiot here"), ("stuuupid", "stupid"), ("a​b", "ab"), ("<b>x</b> y", " x  y")])
 def test_plain(a, b):
     assert abuse.plain(a) == b
+
+
+FOREIGN_BAD = ["王医生,你真是个白痴,快滚吧!今天天气很好。", "下雨的时候,果树旁边的路很滑。那些移民都是害虫,应该消灭他们。", "雨の日は石橋のそばの道が滑りやすい。あの先生は馬鹿野郎だ、死ねばいいのに。", "Сегодня хорошая погода. Заткнись, тупой урод!", "Asshole!", "The road is long. Arschloch!", "白痴!", "バカ!", "Сука!", "You moron."]
+FOREIGN_FINE = ["今天天气很好。我们去公园散步,然后在餐厅吃了一顿很好的晚饭。", "词典里有白痴这个词。", "私は学校へ行きます。雨の日は果樹のそばの道が滑りやすい。", "Сегодня хорошая погода.", "Pigs.", "Sex: female", "Comet!", "9 coronas.", "1 crowns."]
+
+
+def test_abuse_without_blanks_and_of_one_word():
+    s = abuse.scorer()
+    score = lambda t: max(s.distance(abuse.windows(abuse.plain(t))))
+    assert [t for t in FOREIGN_BAD if score(t) < abuse.calibrated()] == []
+    assert [t for t in FOREIGN_FINE if score(t) >= abuse.calibrated()] == []
+
+
+def test_every_sign_is_in_a_window_of_bounded_length():
+    for text in ("".join(map(chr, range(0x4E00, 0x4E00 + 500))), "".join(map(chr, range(0x3041, 0x3091))) + " abc", "x1" * 3000, "word"):
+        parts = abuse.windows(text)
+        assert set("".join(parts)) == set(text) and max(map(len, parts)) <= abuse.WINDOW_WORDS * 25
+        assert sum(map(len, parts)) >= len(text)
