@@ -26,7 +26,7 @@ from budgetloom.session import stash
 DEFECTS = ("empty", "refusal", "copy", "language", "truncated")
 #: Posteriors that a defect has to exceed, and the functions that vote on it.
 CUTOFFS = {"empty": 0.5, "refusal": 0.5, "copy": 0.5, "language": 0.5, "truncated": 0.5}
-VOTERS = {"empty": 2, "refusal": 6, "copy": 4, "language": 4, "truncated": 8}
+VOTERS = {"empty": 2, "refusal": 7, "copy": 4, "language": 4, "truncated": 8}
 COPY_RUN, COPY_SHARE = 6, 0.9
 
 # ---------------------------------------------------------------- the answer without its announcement
@@ -79,20 +79,48 @@ _FOREIGN = re.compile(
 _SAID = re.compile(r"^\W*[\"“«]|[\"”»,] \w+(?: \w+){0,3} (?:told|said|wrote)\b|\b(?:told|said|wrote) (?:the|with|to)\b", re.IGNORECASE)
 
 
-def refusal_votes(answer: str, words: list[str], known: set[str], first: str) -> list[int]:
-    """Votes on a refusal by: the opening, inability and task, a request for text, another language's phrases, speech, what the source has of it."""
+def declining(sentences: list[str]) -> int:
+    """The first pair of neighbouring sentences that declines, by its number; 0 also if none does."""
+    pairs = _pairs(sentences)
+    foreign = 0
+    for k, pair in enumerate(pairs):
+        if _SAID.search(pair):
+            continue
+        if _UNABLE.search(pair) and _TASKS.search(pair):
+            return k
+        if not foreign and _FOREIGN.search(pair):
+            foreign = k
+    return foreign
+
+
+def _pairs(sentences: list[str]) -> list[str]:
+    return [" ".join(sentences[k : k + 2]) for k in range(max(1, len(sentences) - 1))]
+
+
+def refusal_votes(answer: str, words: list[str], known: set[str], sentences: list[str]) -> list[int]:
+    """Votes on a refusal by: the opening, inability and task, a request for text, another language's phrases, speech, what the source has of it, and how early it declines.
+
+    The sentences that decline are sought in the whole answer; a long one that
+    declines only later is judged like a short one.
+    """
     own = [w for w in words if len(w) > 3]
     held = sum(w in known for w in own) / max(1, len(own))
-    short = len(words) <= 70
-    unable, task = bool(_UNABLE.search(first)), bool(_TASKS.search(first))
-    foreign, said = bool(_FOREIGN.search(first)), bool(_SAID.search(first))
+    at = declining(sentences) if _UNABLE.search(answer) or _FOREIGN.search(answer) else 0
+    pair = _pairs(sentences)[at]
+    opens = bool(_OPENS.match(pair) or at and _OPENS.match(sentences[at + 1].lstrip())) if at else bool(_OPENS.match(answer))
+    unable, task = bool(_UNABLE.search(pair)), bool(_TASKS.search(pair))
+    foreign, said = bool(_FOREIGN.search(pair)), bool(_SAID.search(pair))
+    declines = (unable and task or foreign) and not said
+    short = len(words) <= 70 or declines
+    asks = _ASKS.search(answer) if len(words) <= 70 else held < 0.5 and any(_ASKS.search(p) and not _SAID.search(p) for p in _pairs(sentences))
     return [
-        1 if _OPENS.match(answer) and (unable or task) and not said else 0 if (_OPENS.match(answer) and not said) or foreign else -1,
+        1 if opens and (unable or task) and not said else 0 if (opens and not said) or foreign else -1,
         1 if unable and task else 1 if short and unable and held < 0.5 and not said else -1,
-        1 if short and (_ASKS.search(answer)) else 0,
+        1 if asks else 0,
         1 if foreign and short and held < 0.5 else 0,
         -1 if said else 0,
         1 if short and held < 0.25 and len(words) > 2 else -1 if held > 0.5 or not short else 0,
+        0 if not declines else -1 if at and held > 0.5 else 0 if at else 1,
     ]
 
 
@@ -305,13 +333,13 @@ def judge(answers: list[str | None], sources: list[str | None], status: list[int
     for i, (answer, source) in enumerate(zip(bodies, texts)):
         words, source_words = all_words[i], all_source_words[i]
         known = set(source_words)
-        first = " ".join(_SENTENCE.findall(answer[:600])[:2])
+        sentences = _SENTENCE.findall(answer)
         empty = not words
         of_source = language(source, source_words)[0]
         ratio = len(words) / max(1, len(source_words))
         foreign, is_foreign = language_votes(answer, words, of_source, source)
         out["empty"].append(_code([1 if empty else -1, 1 if empty else 0]))
-        out["refusal"].append(_code([-1] * 6 if empty else refusal_votes(answer, words, known, first)))
+        out["refusal"].append(_code([-1] * 7 if empty else refusal_votes(answer, words, known, sentences)))
         out["copy"].append(_code([-1] * 4 if empty else [1 if six[i] >= COPY_SHARE else -1, 1 if three[i] >= 0.93 else -1, 1 if six[i] >= 0.5 and len(words) >= COPY_RUN else -1, 0 if ratio >= 0.3 else -1 if ratio < 0.02 else 0]))
         out["language"].append(_code(foreign))
         out["truncated"].append(_code([-1, 0, 0, 0, 0, 0, 0, 0] if empty else truncated_votes(answer, status[i], reason[i])))

@@ -115,6 +115,13 @@ ANSWERS = [
     (GOOD + "\n\n| item | amount |\n| tariff | 689 |\n| attic | 1989 |", None),
     (GOOD + "\n\n***\n\nEnd of passage", None),
 ]
+PREAMBLE = "Thanks a lot. What a lovely day it was today. Many people enjoy reading in their own time. "
+LATE = [
+    PREAMBLE + "I'm sorry, but I cannot rewrite this text.",
+    PREAMBLE * 8 + "Unfortunately, I am unable to paraphrase this passage.",
+    PREAMBLE * 8 + "Lo siento, pero no puedo ayudar con eso.",
+]
+LATE_FINE = [GOOD + " " + GOOD + ' "I cannot rewrite this text," Professor Wynram told the owner.', GOOD + " " + GOOD + " The board must follow my guidelines."]
 
 
 def test_defects(spark):
@@ -129,6 +136,13 @@ def test_defects(spark):
     assert defects.first_defect(defects.defect_labels(rewritten.limit(0), pool)).count() == 0
 
 
+def test_refusals_after_a_preamble(spark):
+    rows = [(i, 1, a, 2, "stop") for i, (a, _) in enumerate(ANSWERS)] + [(500 + i, 1, a, 2, "stop") for i, a in enumerate(LATE)] + [(600 + i, 1, a, 2, "stop") for i, a in enumerate(LATE_FINE)] + [(1000 + i, 1, GOOD + f" Note {i}.", 2, "stop") for i in range(150)]
+    rewritten = spark.createDataFrame(rows, "rewrite_id long, doc_id long, rewritten string, status int, finish_reason string")
+    labels = defects.defect_labels(rewritten, spark.createDataFrame([(1, SOURCE)], "doc_id long, text string"))
+    assert {r["rewrite_id"] for r in labels.where("defect = 'refusal'").collect() if r["rewrite_id"] >= 500} == {500 + i for i in range(len(LATE))}
+
+
 def test_label_model_learns_from_agreement():
     rng = np.random.default_rng(0)
     truth = rng.random(20_000) < 0.05
