@@ -1,6 +1,6 @@
 """Evaluation records that also stand in the training split (problem 2).
 
-Each record's word n-gram hashes are reduced to 36 keys, each made of the least
+Each record's word n-gram hashes are reduced to 60 keys, each made of the least
 hashes under five permutations; two records of likeness J share a key with
 probability J to the fifth power, whatever else the corpus repeats.  The keys of
 the evaluation records, as a bitmap of fixed size, are broadcast, the training

@@ -104,6 +104,16 @@ def test_distance_is_a_lower_bound():
     assert (parts <= bits).all() and near.reach(0.7) < near.reach(0.5)
 
 
+def test_grids_miss_next_to_no_pair():
+    import numpy as np
+
+    rng, grids = np.random.default_rng(3), near._grids()
+    same = rng.random((100_000, near.SEGMENTS)) < 0.7
+    missed = sum(int((~part[:, grids].all(2).any(1)).sum()) for part in np.array_split(same, 20))
+    assert missed <= 10  # 1.6 expected
+    assert len(set(grids.ravel())) == grids.size and (1 - 0.7**near.ACROSS) ** near.GRIDS < 2e-5
+
+
 def test_components(spark):
     rnd = random.Random(3)
     links = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(300)] + [(i, i + 1) for i in range(1000, 1200)] + [(5, 5), (None, 3), (2, 2)]
