@@ -220,3 +220,9 @@ def test_every_sign_is_in_a_window_of_bounded_length():
         parts = abuse.windows(text)
         assert set("".join(parts)) == set(text) and max(map(len, parts)) <= abuse.WINDOW_WORDS * 25
         assert sum(map(len, parts)) >= len(text)
+
+
+def test_every_window_gets_the_thorough_distance():
+    s = abuse.scorer()
+    parts = [w for t in BAD + FINE if t for w in abuse.windows(abuse.plain(t)) if len(w) > abuse.SHORT and w.isascii()]
+    assert len(parts) > 5 and np.array_equal(s.distance(parts), s._distance([p.encode() for p in parts], s.fine))
