@@ -18,7 +18,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
+_written: dict[str, SparkSession] = {}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -39,10 +39,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process, so that a folder of the machine is shared by all."""
+    return master == "local" or master.startswith("local[")
+
+
 def work_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written tables."""
+    """The shared folder for checkpoints and written tables, as ``spark.checkpoint.dir`` names it.
+
+    On a cluster the setting is required: a folder of one machine would leave
+    each executor with its own part of a table.  Only a session within one
+    process (tests, a laptop) gets a folder of its own where it is unset.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not is_local(master):
+            raise RuntimeError(f"spark.checkpoint.dir has to name a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="budgetloom-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -54,20 +67,47 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     It cuts the lineage (an expensive stage is never run twice) and survives
-    the loss of executors.
+    the loss of executors.  ``discard`` removes it; what is left goes at exit.
     """
     spark = df.sparkSession
     path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._stash = path
+    _written[path] = spark
+    return written
+
+
+def discard(*stashed: DataFrame) -> None:
+    """Remove written tables that no later plan reads, on whatever file system they lie."""
+    for df in stashed:
+        path = getattr(df, "_stash", None)
+        if path and _written.pop(path, None) is not None:
+            _remove(df.sparkSession, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @atexit.register
 def _clean() -> None:
-    for path in _written:
-        if path.startswith(("file:", "/")):
-            shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+    for path, spark in _written.items():
+        try:
+            _remove(spark, path)
+        except Exception:  # the gateway is gone already; a local folder can still be removed
+            if path.startswith(("file:", "/")):
+                shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+
+
+#: Bytes of a shuffle partition that is sized by its data.
+PART_BYTES = 64 << 20
+
+
+def parts_of(df: DataFrame, size: int) -> int:
+    """Shuffle partitions for so many bytes: the session's number, or more where the data ask for it."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // PART_BYTES))
 
 
 def ship(spark: SparkSession) -> None:
