@@ -31,7 +31,7 @@ def _overlaps(spark, d):
 
 
 def p2_found(spark, d):
-    pairs = _overlaps(spark, d)
+    pairs = _overlaps(spark, d).where(F.col("likeness") >= LIKENESS)
     return pairs.select(F.least("eval_id", "train_id").alias("doc_id_a"), F.greatest("eval_id", "train_id").alias("doc_id_b")).distinct()
 
 
@@ -48,7 +48,7 @@ def p3_found(spark, d):
 
 
 def p3_groups(spark, d):
-    return near.near_groups(table(spark, d, "pool"), "doc_id", "text", LIKENESS, WORDS_IN_A_ROW).select(F.col("id").alias("doc_id"), "name", "group")
+    return near.least_ids(near.near_groups(table(spark, d, "pool"), "doc_id", "text", LIKENESS, WORDS_IN_A_ROW))
 
 
 def p4_found(spark, d):

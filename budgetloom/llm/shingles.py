@@ -120,17 +120,6 @@ def least_hashes(flat: np.ndarray, sizes: np.ndarray, count: int, seed: int) ->
     return out
 
 
-def shared(texts_a: list[str], texts_b: list[str], n: int = N, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(|A and B|, |A|, |B|) of the shingle sets of each pair of texts."""
-    fa, sa = shingle_sets(texts_a, n, min_words)
-    fb, sb = shingle_sets(texts_b, n, min_words)
-    both = np.zeros(len(sa), np.int64)
-    ea, eb = np.cumsum(sa), np.cumsum(sb)
-    for i in range(len(sa)):
-        both[i] = len(np.intersect1d(fa[ea[i] - sa[i] : ea[i]], fb[eb[i] - sb[i] : eb[i]], assume_unique=True))
-    return both, sa, sb
-
-
 def list_column(values: np.ndarray) -> pa.ListArray:
     """A rows x k matrix as a list column of longs."""
     rows, k = values.shape
