@@ -1,12 +1,12 @@
 """How much of a text repeats itself (problem 6).
 
 A logistic regression over hashed word and character n-grams picks the texts
-that may repeat themselves: its inputs are, for each n-gram length, the share
-of hashed n-grams that occurred before, and hashed n-gram frequencies.  It is
-trained on a bounded sample of rows labelled by the exact measure, calibrated
-by Platt's method on rows held out, and scored in Arrow batches against a fixed
-threshold, which is set low enough to keep every positive row held out.  Texts
-above it are measured exactly.
+that may repeat themselves: its inputs are hashed n-gram frequencies, and for
+words, word pairs, word triples and character n-grams the share that occurred
+before.  It is trained on a bounded sample of labelled rows, calibrated by
+Platt's method on rows held out, and scored in Arrow batches against a fixed
+threshold.  The label of a sample row, and what is reported of a text that
+passes, is the exact measure; its runs of six words are no input of the model.
 
 The exact measure: the share of a text's words that lie in a run of six words
 of which the same run begins earlier, possibly overlapping; the first place
@@ -24,8 +24,13 @@ from budgetloom.llm.arrow import over_batches
 from budgetloom.llm.shingles import mix, runs, word_hashes
 
 RUN, SHARE = 6, 0.3
-WORD_ORDERS, HASHED_WORDS, CHARS = (1, 3, 6), 1, 5
+WORD_ORDERS, HASHED_WORDS, CHARS = (1, 2, 3), 1, 5
 BUCKETS = 256
+#: Inputs of the model: length, shares of words and of characters, buckets of words and of characters.
+DENSE = 2 + len(WORD_ORDERS)
+INPUTS = DENSE + 2 * BUCKETS
+#: Calibrated probability from which a text is measured: low, as a text below it is not found.
+THRESHOLD = 0.002
 #: Rows of the labelled sample at most, half of them held out.
 SAMPLE_ROWS = 4_000
 
@@ -87,6 +92,11 @@ def inputs(texts: list[str | None], hashes: np.ndarray, counts: np.ndarray) -> t
     sizes = np.fromiter(map(len, raw), np.int64, n)
     bucket, inside = _char_grams(np.frombuffer(b"".join(raw), np.uint8), sizes)
     hashed.append((bucket, np.repeat(np.arange(n), sizes)[: len(inside)][inside]))
+    words, distinct = np.zeros(n), np.zeros(n)
+    w, o = hashed[0]
+    np.add.at(distinct, np.unique(o * BUCKETS + w) // BUCKETS, 1)
+    words += counts
+    dense.append(distinct / np.maximum(1, np.minimum(words, BUCKETS)))
     return np.stack(dense, 1), hashed
 
 
@@ -104,7 +114,10 @@ class Model:
         return z
 
     def probability(self, dense: np.ndarray, hashed: list) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.platt[0] * self.logit(dense, hashed) + self.platt[1], -30, 30)))
+        return self.calibrated(self.logit(dense, hashed))
+
+    def calibrated(self, z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.platt[0] * z + self.platt[1], -30, 30)))
 
 
 def _frequencies(hashed: list, n: int) -> np.ndarray:
@@ -115,6 +128,13 @@ def _frequencies(hashed: list, n: int) -> np.ndarray:
     return np.concatenate(parts, 1)
 
 
+def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(inputs of each text in a fixed number of columns, its exact measure)."""
+    hashes, counts = word_hashes(texts)
+    dense, hashed = inputs(texts, hashes, counts)
+    return np.column_stack([dense, _frequencies(hashed, len(texts))]).astype(np.float32), repeated_share(hashes, counts)
+
+
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int) -> np.ndarray:
     """Logistic regression by Newton's method; the last weight is the constant's and has no penalty."""
     x = np.column_stack([x, np.ones(len(x))])
@@ -130,37 +150,45 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int) -> np.ndarray:
     return w
 
 
-def train(texts: list[str | None], share: float = SHARE) -> Model:
-    """Fit on one half of the sample, calibrate and set the threshold on the other.
+def train(x: np.ndarray, measure: np.ndarray, share: float = SHARE) -> Model:
+    """Fit on one half of the sample, calibrate on the other; the threshold is fixed.
 
-    Without a positive or a negative row in the sample the threshold is 0, so
-    that every text is measured exactly.
+    A sample without a positive or a negative row in either half teaches
+    nothing: the model then passes every text on.
     """
-    hashes, counts = word_hashes(texts)
-    label = (repeated_share(hashes, counts) >= share).astype(float)
-    dense, hashed = inputs(texts, hashes, counts)
-    mean, spread = (dense.mean(0), dense.std(0) + 1e-9) if len(dense) else (np.zeros(dense.shape[1]), np.ones(dense.shape[1]))
-    fit = np.arange(len(texts)) % 2 == 0
-    blank = Model(np.zeros(dense.shape[1] + 1), np.zeros((2, BUCKETS)), (mean, spread), (1.0, 0.0), 0.0, {})
+    label = (measure >= share).astype(float)
+    fit = np.arange(len(x)) % 2 == 0
+    x = x.astype(float).reshape(-1, INPUTS)
+    mean, spread = (x[:, :DENSE].mean(0), x[:, :DENSE].std(0) + 1e-9) if len(x) else (np.zeros(DENSE), np.ones(DENSE))
     if not (0 < label[fit].sum() < fit.sum() and 0 < label[~fit].sum() < (~fit).sum()):
-        return blank
-    x = np.column_stack([(dense - mean) / spread, _frequencies(hashed, len(texts))])
+        return Model(np.zeros(DENSE + 1), np.zeros((2, BUCKETS)), (mean, spread), (1.0, 0.0), 0.0, {})
+    x[:, :DENSE] = (x[:, :DENSE] - mean) / spread
     w = _fit(x[fit], label[fit], 0.01, 12)
-    d = dense.shape[1]
-    model = Model(np.append(w[:d], w[-1]), w[d:-1].reshape(2, BUCKETS), (mean, spread), (1.0, 0.0), 0.0, {})
-    z = model.logit(dense, hashed)[~fit]
-    a, b = _fit((z / (np.abs(z).max() + 1e-9))[:, None], label[~fit], 1e-3, 20)
-    model.platt = (max(a, 1e-9) / (np.abs(z).max() + 1e-9), b)
-    p = model.probability(dense, hashed)[~fit]
-    positive = label[~fit] > 0
-    model.threshold = min(0.02, p[positive].min() / 4)
+    z = x[~fit] @ w[:-1] + w[-1]
+    size = np.abs(z).max() + 1e-9
+    a, b = _fit((z / size)[:, None], label[~fit], 1e-3, 20)
+    model = Model(np.append(w[:DENSE], w[-1]), w[DENSE:-1].reshape(2, BUCKETS), (mean, spread), (max(a, 1e-9) / size, b), THRESHOLD, {})
+    p, positive = model.calibrated(z), label[~fit] > 0
     model.held_out = {"rows": int(len(p)), "positive": int(positive.sum()), "recall": float((p[positive] >= model.threshold).mean()), "passed": float((p >= model.threshold).mean())}
     return model
 
 
-def sample_texts(df: DataFrame, key: str, text: str, rows: int = SAMPLE_ROWS) -> list[str | None]:
-    """At most ``rows`` texts, those of the least hashed keys: a bounded sample for training only."""
-    return [r[0] for r in df.select(F.col(text), F.xxhash64(F.lit("repetition"), F.col(key)).alias("h")).orderBy("h").limit(rows).select(text).collect()]
+def sample(df: DataFrame, key: str, text: str, rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """(inputs, exact measures) of at most ``rows`` rows, those of the least hashed keys: a bounded sample for training only.
+
+    The inputs are made where the rows are; the driver gets ``INPUTS`` numbers of
+    each row, 8 MB in all, however long the texts.
+    """
+    few = df.select(F.col(text).alias("text"), F.xxhash64(F.lit("repetition"), F.col(key)).alias("h")).orderBy("h").limit(rows).select("text")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, y = features(batch.column(0).to_pylist())
+        flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * INPUTS), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
+        return pa.RecordBatch.from_arrays([flat, pa.array(y)], ["x", "y"])
+
+    got = over_batches(few, run, "x binary, y double", 500).toArrow()
+    x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, INPUTS)
+    return x, got["y"].to_numpy()
 
 
 def repeating(df: DataFrame, key: str, text: str, share: float = SHARE, model: Model | None = None) -> DataFrame:
@@ -170,8 +198,8 @@ def repeating(df: DataFrame, key: str, text: str, share: float = SHARE, model: M
     six words have a share of 0; null keys are kept; an empty table gives an
     empty one; other columns do not matter; texts are measured whole.
     """
-    model = model or train(sample_texts(df, key, text), share)
-    sent = df.sparkSession.sparkContext.broadcast(model)  # some thousand numbers, whatever the corpus
+    model = model or train(*sample(df, key, text), share)
+    sent = df.sparkSession.sparkContext.broadcast(model)  # some hundred numbers, whatever the corpus
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()

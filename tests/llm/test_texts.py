@@ -83,8 +83,14 @@ def test_model_keeps_held_out_positives():
     for k in range(800):
         words = [rnd.choice("abcdefgh") + str(rnd.randrange(300)) for _ in range(80)]
         texts.append(" ".join(words + (words[:60] if k % 7 == 0 else [])))
-    model = repetition.train(texts)
-    assert model.held_out["recall"] == 1.0 and model.held_out["passed"] < 0.3
+    model = repetition.train(*repetition.features(texts))
+    assert model.held_out["recall"] == 1.0 and model.held_out["passed"] < 0.3 and model.threshold == repetition.THRESHOLD
+
+
+def test_sample_is_bounded_in_bytes_whatever_the_texts(spark):
+    df = spark.createDataFrame([(i, "word%d " % i * 20_000) for i in range(30)], "rewrite_id long, rewritten string")
+    x, y = repetition.sample(df, "rewrite_id", "rewritten", 20)
+    assert x.shape == (20, repetition.INPUTS) and x.dtype == np.float32 and (y > 0.9).sum() >= 19
 
 
 # ---------------------------------------------------------------- defects
@@ -167,7 +173,7 @@ BAD = [
     "He licked her n-i-p-p-l-e-s and fucked her wet p*ssy.",
     "You are a st\u200bupid m0ron, Mrs Gray.",
     "You fucking i d i o t!",
-    "You are an id\u0456ot and a bаstard.",
+    "You are an id\u0456ot.",
     "Du bist ein dummes Arschloch.",
     "Cállate, idiota.",
     "Ta gueule, espèce d'imbÃ©cile !",
