@@ -17,8 +17,8 @@ from budgetloom.functions import text as rules
 from budgetloom.functions.scores import stream
 from budgetloom.operators import assemble as asm
 from budgetloom.operators import gates
-from budgetloom.operators.fill import budget_fill, running_sum
-from budgetloom.operators.ranking import order_desc, percentile_vs_reference, tie_percentile
+from budgetloom.operators.fill import Lead, budget_fill, hash_lead, running_sum, strict_fill
+from budgetloom.operators.ranking import exact_percentiles, order_desc, percentile_vs_reference, tie_percentile
 from budgetloom.plans import oracle as o
 from budgetloom.plans.tables import passes, scored, second_scores, texts, topic_of
 from budgetloom.session import map_arrow, stash, table
@@ -59,13 +59,38 @@ def budget(df: DataFrame) -> int:
     return int(df.agg((F.sum("len") / 12).cast("long")).first()[0] or 0)
 
 
+class Holdout:
+    """Exactly max(1, n / 2000) documents, the first in their random order.
+
+    The order's boundary is found once; what is held out and what is alive are
+    then filters of any table with ``doc_id``, without a join.
+    """
+
+    def __init__(self, df: DataFrame, rows: int | None = None):
+        self.h = stream("val", "doc_id")
+        k = max(1, (df.count() if rows is None else rows) // 2000)
+        rows = df.select("doc_id", self.h.alias("h"))
+        first = budget_fill(rows.withColumn("one", F.lit(1)), [F.col("h").asc(), F.col("doc_id").asc()], "one", k, method="two_phase", lead=hash_lead(F.col("h")))
+        last = first.agg(F.max(F.struct("h", "doc_id")).alias("m")).first()["m"]
+        self.last = (last["h"], last["doc_id"]) if last is not None else ("", -1)
+
+    def _held(self):
+        h, key = self.last
+        return (self.h < h) | ((self.h == h) & (F.col("doc_id") <= key))
+
+    def held(self, df: DataFrame) -> DataFrame:
+        return df.where(self._held())
+
+    def alive(self, df: DataFrame) -> DataFrame:
+        return tied(df.where(~self._held()))
+
+
 def holdout(df: DataFrame) -> DataFrame:
-    """Exactly max(1, n / 2000) documents, the first in their random order."""
-    return df.withColumn("h", stream("val", "doc_id")).orderBy("h", "doc_id").limit(max(1, df.count() // 2000)).select("doc_id")
+    return Holdout(df).held(df).select("doc_id")
 
 
 def alive(df: DataFrame) -> DataFrame:
-    return tied(df.join(F.broadcast(holdout(df)), "doc_id", "left_anti"))  # the hold-out is one in 2,000 of the ids
+    return Holdout(df).alive(df)
 
 
 class Selection:
@@ -73,14 +98,23 @@ class Selection:
 
     def __init__(self, spark: SparkSession, d: str):
         self.pool = stash(scored(spark, d), "scored")  # narrow, and read by every block
-        self.b = budget(self.pool)
-        self.alive = alive(self.pool)
+        size = self.pool.agg(F.count("*").alias("n"), (F.sum("len") / 12).cast("long").alias("b")).first()
+        self.b = int(size["b"] or 0)
+        self.holdout = Holdout(self.pool, size["n"])
+        self.alive = self.holdout.alive(self.pool)
 
     def by_score(self, target: int) -> DataFrame:
-        return budget_fill(self.alive, order_desc("s1", F.col("tie"), "doc_id"), "len", target, method="two_phase")
+        return budget_fill(self.alive, order_desc("s1", F.col("tie"), "doc_id"), "len", target, method="two_phase", lead=self.lead("s1"))
+
+    @staticmethod
+    def lead(score: str) -> Lead:
+        return Lead(F.col(score), True, F.col("tie"))
 
     def base(self) -> DataFrame:
-        return self.by_score(self.b)
+        """The shared base; a pool that cannot fill it stops the run."""
+        if not hasattr(self, "_base"):
+            self._base = stash(strict_fill(self.alive, order_desc("s1", F.col("tie"), "doc_id"), "len", self.b, "base", self.lead("s1")), "base")
+        return self._base
 
     def continued(self, budget_after: int) -> DataFrame:
         """The rows after the base in the same order, to a further budget: one running sum serves base and blocks."""
@@ -90,12 +124,16 @@ class Selection:
         return filled.where((F.col("rn") > n) & ((F.col("rn") == n + 1) | (F.col("before_len") - t < budget_after)))
 
     def residual(self) -> DataFrame:
+        """What is alive and not in the base: the base is a prefix of an order, so this is a filter behind its last row and no join."""
         if not hasattr(self, "_residual"):
-            self._residual = stash(self.alive.join(self.base().select("doc_id"), "doc_id", "left_anti"), "residual")
+            last = self.base().agg(F.max_by(F.struct("s1", "tie", "doc_id"), "rn").alias("m")).first()["m"]
+            score, tie, key = F.lit(last["s1"]).cast("float"), F.lit(last["tie"]), F.lit(last["doc_id"])
+            behind = (F.col("s1") < score) | ((F.col("s1") == score) & ((F.col("tie") > tie) | ((F.col("tie") == tie) & (F.col("doc_id") > key))))
+            self._residual = self.alive.where(behind)
         return self._residual
 
     def uniform(self, name: str, times: int) -> DataFrame:
-        return budget_fill(self.residual().withColumn("draw", stream(name, "doc_id")), [F.col("draw").asc(), F.col("doc_id").asc()], "len", times * self.b, method="two_phase")
+        return budget_fill(self.residual().withColumn("draw", stream(name, "doc_id")), [F.col("draw").asc(), F.col("doc_id").asc()], "len", times * self.b, method="two_phase", lead=hash_lead(F.col("draw")))
 
     def quotas(self) -> DataFrame:
         total = self.residual().agg(F.sum("len").cast("double").alias("t")).first()["t"] or 1.0
@@ -104,16 +142,29 @@ class Selection:
 
     def by_topic(self) -> DataFrame:
         with_quota = self.residual().join(F.broadcast(self.quotas().select("topic", "quota")), "topic")  # one row for each topic
-        return budget_fill(with_quota, order_desc("q", F.col("tie"), "doc_id"), "len", F.col("quota"), ["topic"], "two_phase")
+        return budget_fill(with_quota, order_desc("q", F.col("tie"), "doc_id"), "len", F.col("quota"), ["topic"], "two_phase", self.lead("q"))
+
+    def by_listed_topic(self, targets: DataFrame) -> DataFrame:
+        """The fill by topic under listed shares of twice the budget, and a top-up by q to the whole target."""
+        goal = 2 * self.b
+        shares = targets.where("topic is not null").groupBy(topic_of().alias("topic")).agg((F.max("target_share") * goal).alias("quota"))
+        filled = stash(budget_fill(self.residual().join(F.broadcast(shares), "topic"), order_desc("q", F.col("tie"), "doc_id"), "len", F.col("quota"), ["topic"], "two_phase", self.lead("q")), "listed")
+        missing = goal - int(filled.agg(F.coalesce(F.sum("len"), F.lit(0))).first()[0])
+        taken = filled.select("doc_id", "topic", F.lit(False).alias("topped_up"))
+        if missing <= 0:
+            return taken
+        rest = self.residual().join(filled.select("doc_id"), "doc_id", "left_anti")
+        more = budget_fill(rest, order_desc("q", F.col("tie"), "doc_id"), "len", missing, method="two_phase", lead=self.lead("q"))
+        return taken.unionByName(more.select("doc_id", "topic", F.lit(True).alias("topped_up")))
 
     def candidates(self) -> DataFrame:
         """Union of three fills, each with its membership as a flag."""
-        flags = [budget_fill(self.residual(), order_desc(s, F.col("tie"), "doc_id"), "len", 2 * self.b, method="two_phase").select("doc_id", F.lit(i).alias("i")) for i, s in enumerate(("s1", "s2", "s3"), 1)]
+        flags = [budget_fill(self.residual(), order_desc(s, F.col("tie"), "doc_id"), "len", 2 * self.b, method="two_phase", lead=self.lead(s)).select("doc_id", F.lit(i).alias("i")) for i, s in enumerate(("s1", "s2", "s3"), 1)]
         of = reduce(DataFrame.unionByName, flags).groupBy("doc_id").agg(*(F.max(F.col("i") == i).alias(f"in{i}") for i in (1, 2, 3)))
         return self.residual().join(of, "doc_id").select("doc_id", "len", "q", "v", "u", "tie", "in1", "in2", "in3")
 
     def taus(self, candidates: DataFrame) -> tuple[float, float]:
-        r = candidates.agg(F.percentile(F.col("q").cast("double"), 0.3).alias("q"), F.percentile(F.col("v").cast("double"), 0.9).alias("v")).first()
+        r = exact_percentiles(candidates, {"q": ("q", 0.3), "v": ("v", 0.9)})
         return r["q"] or 0.0, r["v"] or 0.0
 
     def feasible(self) -> tuple[DataFrame, DataFrame]:
@@ -122,7 +173,7 @@ class Selection:
         return c, c.where((F.col("q") >= F.lit(tau_q).cast("float")) & (F.col("v") <= F.lit(tau_v).cast("float")))
 
     def spread(self) -> DataFrame:
-        return budget_fill(self.feasible()[1], order_desc("u", F.col("tie"), "doc_id"), "len", 2 * self.b, method="two_phase")
+        return budget_fill(self.feasible()[1], order_desc("u", F.col("tie"), "doc_id"), "len", 2 * self.b, method="two_phase", lead=self.lead("u"))
 
     def blocks(self) -> DataFrame:
         parts = {
@@ -169,7 +220,7 @@ def shard_address(spark, d):
 
 def _planned(rows: DataFrame) -> DataFrame:
     """Ids in order, cut into shards of a fixed number of rows."""
-    placed = running_sum(rows, [F.col("doc_id").asc()], F.lit(1))
+    placed = running_sum(rows, [F.col("doc_id").asc()], F.lit(1), Lead(F.col("doc_id"), False))
     return placed.select("doc_id", "len", F.expr(f"(rn - 1) div {SHARD_ROWS}").alias("shard_index"), F.pmod(F.col("rn") - 1, F.lit(SHARD_ROWS)).cast("long").alias("row_in_shard"))
 
 
@@ -190,7 +241,7 @@ def shard_index(spark, d):
 @query(f"SELECT shard_index, n_rows, CAST(coalesce(sum(n_rows) OVER (ORDER BY shard_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS row_offset FROM (SELECT shard_index, count(*) AS n_rows FROM {_PLAN} GROUP BY shard_index)", "uniform")
 def shard_offsets(spark, d):
     per = shard_index(spark, d).select("shard_index", "n_rows")
-    return running_sum(per, [F.col("shard_index").asc()], "n_rows").select("shard_index", "n_rows", F.col("before_len").alias("row_offset"))
+    return running_sum(per, [F.col("shard_index").asc()], "n_rows", Lead(F.col("shard_index"), False)).select("shard_index", "n_rows", F.col("before_len").alias("row_offset"))
 
 
 @query(f"SELECT p.doc_id, shard_index, row_in_shard, CAST(length(text) AS BIGINT) AS n_chars, md5(text) AS text_md5, tokens FROM {_PLAN} p JOIN pool_texts t ON p.doc_id = t.doc_id", "uniform pool_texts")
@@ -359,6 +410,12 @@ def topic_quota_select(spark, d):
     return Selection(spark, d).by_topic().select("doc_id", "topic", "rn", "before_len")
 
 
+@query("SELECT doc_id, topic, topped_up FROM listed_fill UNION ALL SELECT doc_id, topic, true FROM listed_topup", "listed_fill listed_topup")
+def topic_topup_select(spark, d):
+    """Quotas by the listed shares of the topics; what scarce topics leave open is filled by q from what is left."""
+    return Selection(spark, d).by_listed_topic(table(spark, d, "topic_targets")).select("doc_id", "topic", "topped_up")
+
+
 @query("SELECT doc_id, in1, in2, in3 FROM candidates", "candidates")
 def da_candidates(spark, d):
     return Selection(spark, d).candidates().select("doc_id", "in1", "in2", "in3")
@@ -367,7 +424,8 @@ def da_candidates(spark, d):
 @query("SELECT round(tau_q, 6) AS tau_q, round(tau_v, 6) AS tau_v FROM taus", "taus")
 def da_thresholds(spark, d):
     s = Selection(spark, d)
-    return s.candidates().agg(F.round(F.percentile(F.col("q").cast("double"), 0.3), 6).alias("tau_q"), F.round(F.percentile(F.col("v").cast("double"), 0.9), 6).alias("tau_v"))
+    tau_q, tau_v = s.taus(stash(s.candidates(), "candidates"))
+    return spark.createDataFrame([(round(tau_q, 6), round(tau_v, 6))], "tau_q double, tau_v double")
 
 
 @query("SELECT doc_id, len FROM feasible", "feasible")
@@ -406,26 +464,26 @@ def da_select_stats(spark, d):
 def fill_prefix(spark, d):
     """The fill on the largest table, in two phases."""
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_quantity").cast("long").alias("len"))
-    return budget_fill(rows, [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(), F.col("l_linenumber").asc()], "len", 50_000, method="two_phase").select("l_orderkey", "l_linenumber", "rn", "before_len")
+    return budget_fill(rows, [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(), F.col("l_linenumber").asc()], "len", 50_000, method="two_phase", lead=Lead(F.col("l_extendedprice"))).select("l_orderkey", "l_linenumber", "rn", "before_len")
 
 
 @query("SELECT l_suppkey, l_orderkey, l_linenumber, rn, before_len FROM (SELECT l_suppkey, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rn, CAST(coalesce(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before_len FROM lineitem) WHERE rn = 1 OR before_len < 300")
 def fill_desc(spark, d):
     """The fill by group."""
     rows = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_quantity").cast("long").alias("len"))
-    return budget_fill(rows, [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(), F.col("l_linenumber").asc()], "len", 300, ["l_suppkey"], "two_phase").select("l_suppkey", "l_orderkey", "l_linenumber", "rn", "before_len")
+    return budget_fill(rows, [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(), F.col("l_linenumber").asc()], "len", 300, ["l_suppkey"], "two_phase", Lead(F.col("l_extendedprice"))).select("l_suppkey", "l_orderkey", "l_linenumber", "rn", "before_len")
 
 
 @query("SELECT doc_id, rn AS place FROM by_score", "by_score")
 def order_desc_places(spark, d):
     s = Selection(spark, d)
-    return running_sum(s.alive.select("doc_id", "s1", "tie"), order_desc("s1", F.col("tie"), "doc_id"), F.lit(1)).select("doc_id", F.col("rn").alias("place"))
+    return running_sum(s.alive.select("doc_id", "s1", "tie"), order_desc("s1", F.col("tie"), "doc_id"), F.lit(1), s.lead("s1")).select("doc_id", F.col("rn").alias("place"))
 
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY md5('42:draw_a:' || doc_id), doc_id) AS place FROM scored", "scored")
 def random_order(spark, d):
     rows = scored(spark, d).select("doc_id", stream("draw_a", "doc_id").alias("h"))
-    return running_sum(rows, [F.col("h").asc(), F.col("doc_id").asc()], F.lit(1)).select("doc_id", F.col("rn").alias("place"))
+    return running_sum(rows, [F.col("h").asc(), F.col("doc_id").asc()], F.lit(1), hash_lead(F.col("h"))).select("doc_id", F.col("rn").alias("place"))
 
 
 @query("SELECT doc_id, round((rank() OVER (ORDER BY raw) + (count(*) OVER (PARTITION BY raw) - 1) / 2.0) / (SELECT count(*) FROM scored WHERE raw IS NOT NULL), 6) AS pct FROM scored WHERE raw IS NOT NULL", "scored")
@@ -495,7 +553,7 @@ def overlap_matrix(spark, d):
 def gate_no_overlap(spark, d):
     s = Selection(spark, d)
     strategies = s.uniform("draw_a", 2).select("doc_id").unionByName(s.by_topic().select("doc_id"))
-    return gates.all_of([gates.overlap(s.base(), strategies, "doc_id", "base and strategies"), gates.overlap(holdout(s.pool), s.alive, "doc_id", "hold-out and alive")])
+    return gates.all_of([gates.overlap(s.base(), strategies, "doc_id", "base and strategies"), gates.overlap(s.holdout.held(s.pool), s.alive, "doc_id", "hold-out and alive")])
 
 
 @query("SELECT 'quality_base in quality_prefix' AS check_name, count(*) = 0 AS ok, count(*) AS detail FROM quality_base WHERE doc_id NOT IN (SELECT doc_id FROM quality_first)", "quality_base quality_first")
@@ -595,13 +653,36 @@ def yield_projection(spark, d):
 # ---------------------------------------------------------------- assembly
 
 
-def _kept(spark, d, setting: str, key, group=None) -> DataFrame:
+def _targets(spark, d, setting: str, by: list[str]) -> DataFrame:
+    """The second budget of an arm, by its share of the source's tokens: a supply below it is not padded."""
+    source = _sources(spark, d).where(F.col("setting") == setting)
+    total = source.agg(F.sum("len").cast("double")).first()[0] or 1.0
+    b = budget(scored(spark, d))
+    return source.groupBy(*by).agg((F.lit(float(b)) * F.sum("len").cast("double") / F.lit(total)).alias("target"))
+
+
+def _sources(spark, d) -> DataFrame:
+    """(setting, doc_id, len, topic): the documents that an arm rewrote, once each."""
+    return passes(spark, d).select("setting", "doc_id").distinct().join(scored(spark, d).select("doc_id", "len", "topic"), "doc_id")
+
+
+def _kept(spark, d, setting: str, rank, group=None) -> DataFrame:
     rows = stash(_keyed(spark, d).where(F.col("setting") == setting), "passes")
     if group:
-        rows = rows.join(F.broadcast(rows.groupBy(*group).agg((F.sum("len") * 6 / 10).cast("long").alias("target"))), group)
-        return asm.assemble(rows, key, F.col("target"), group)
-    target = int(rows.agg((F.sum("len") * 6 / 10).cast("long")).first()[0] or 0)
-    return asm.assemble(rows, key, target).withColumn("target", F.lit(target).cast("long"))
+        rows = rows.join(F.broadcast(_targets(spark, d, setting, group)), group)  # one row a topic
+        return asm.assemble(rows, rank, F.col("target"), group)
+    target = float(budget(scored(spark, d)))
+    return asm.assemble(rows, rank, target).withColumn("target", F.lit(target))
+
+
+def _desc(score: str):
+    """The rank of an order from the highest score."""
+    return -F.col(score).cast("double")
+
+
+def _random(name: str, key: str):
+    """The rank of a random order, between 0 and 1."""
+    return F.conv(F.substring(stream(name, key), 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
 _ASM = ["rewrite_id", "doc_id", "pass_name", "rn", "before_len", "target"]
@@ -609,34 +690,49 @@ _ASM = ["rewrite_id", "doc_id", "pass_name", "rn", "before_len", "target"]
 
 @query("SELECT rewrite_id, doc_id, pass_name, rn, before_len, target FROM asm_keyed", "asm_keyed")
 def assemble_keyed(spark, d):
-    return _kept(spark, d, "quality_prefix", F.col("s1").desc()).select(*_ASM)
+    return _kept(spark, d, "quality_prefix", _desc("s1")).select(*_ASM)
 
 
 @query("SELECT rewrite_id, doc_id, pass_name, rn, before_len, target FROM asm_spread", "asm_spread")
 def assemble_key(spark, d):
-    return _kept(spark, d, "disagreement", scores.score_key("u").desc()).select(*_ASM)
+    return _kept(spark, d, "disagreement", _desc("u")).select(*_ASM)
 
 
 @query("SELECT rewrite_id, doc_id, pass_name, rn, before_len, target FROM asm_random", "asm_random")
 def assemble_random(spark, d):
-    return _kept(spark, d, "styled_random", stream("topup", "rewrite_id").asc()).select(*_ASM)
+    return _kept(spark, d, "styled_random", _random("topup", "rewrite_id")).select(*_ASM)
 
 
-@query("SELECT rewrite_id, doc_id, pass_name, rn, before_len, target FROM asm_topic", "asm_topic")
+@query("SELECT rewrite_id, doc_id, pass_name, rn, before_len, round(target, 4) AS target FROM asm_topic", "asm_topic")
 def assemble_per_topic(spark, d):
-    return _kept(spark, d, "topic_quota", F.col("s1").desc(), ["topic"]).select(*_ASM)
+    return _kept(spark, d, "topic_quota", _desc("s1"), ["topic"]).withColumn("target", F.round("target", 4)).select(*_ASM)
 
 
-@query("SELECT pass_name, count(*) AS docs, CAST(sum(len) AS BIGINT) AS tokens FROM asm_keyed GROUP BY pass_name", "asm_keyed")
+@query("SELECT setting, count(*) AS docs, CAST(sum(len) AS BIGINT) AS tokens, max(tier) > 0 AS used_distill, CAST(greatest(round_even(any_value(target) - sum(len), 0), 0) AS BIGINT) AS shortfall, CAST(greatest(round_even(sum(len) - any_value(target), 0), 0) AS BIGINT) AS overshoot FROM (SELECT 'quality_prefix' AS setting, len, tier, target FROM asm_keyed UNION ALL SELECT 'styled_random', len, tier, target FROM asm_random UNION ALL SELECT 'disagreement', len, tier, target FROM asm_spread) GROUP BY setting", "asm_keyed asm_random asm_spread")
 def assemble_accounting(spark, d):
-    return asm.accounting(_kept(spark, d, "quality_prefix", F.col("s1").desc()), ["pass_name"])
+    """What each arm kept, what is missing of the budget, what is over, and whether the second pass was needed."""
+    b = budget(scored(spark, d))
+    ranks = {"quality_prefix": _desc("s1"), "styled_random": _random("topup", "rewrite_id"), "disagreement": _desc("u")}
+    return reduce(DataFrame.unionByName, [asm.accounting(_kept(spark, d, name, rank), ["setting"], b) for name, rank in ranks.items()])
+
+
+@query("SELECT pass_name, count(*) AS docs, CAST(sum(len) AS BIGINT) AS tokens FROM asm_keyed GROUP BY pass_name", "asm_keyed")
+def assemble_by_pass(spark, d):
+    return asm.accounting(_kept(spark, d, "quality_prefix", _desc("s1")), ["pass_name"])
+
+
+@query("SELECT topic, CAST(greatest(round_even(any_value(target) - coalesce(sum(len), 0), 0), 0) AS BIGINT) AS shortfall FROM (SELECT t.topic, t.target, a.len FROM asm_topic_target t LEFT JOIN asm_topic a ON a.topic = t.topic) GROUP BY topic", "asm_topic asm_topic_target")
+def topic_shortfall(spark, d):
+    """What each topic is short of its part of the second budget, to the nearest even where it is a half; topics are not filled up by others."""
+    kept = _kept(spark, d, "topic_quota", _desc("s1"), ["topic"]).groupBy("topic").agg(F.sum("len").alias("tokens"))
+    rows = _targets(spark, d, "topic_quota", ["topic"]).join(kept, "topic", "left")
+    return rows.select("topic", F.bround(F.greatest(F.col("target") - F.coalesce("tokens", F.lit(0)), F.lit(0.0))).cast("long").alias("shortfall"))
 
 
-@query("SELECT topic, target - tokens AS shortfall FROM (SELECT topic, any_value(target) AS target, CAST(sum(len) AS BIGINT) AS tokens FROM asm_topic GROUP BY topic) ORDER BY shortfall DESC, topic LIMIT 8", "asm_topic")
+@query("SELECT topic, shortfall FROM (SELECT topic, CAST(greatest(round_even(any_value(target) - coalesce(sum(len), 0), 0), 0) AS BIGINT) AS shortfall FROM (SELECT t.topic, t.target, a.len FROM asm_topic_target t LEFT JOIN asm_topic a ON a.topic = t.topic) GROUP BY topic) ORDER BY shortfall DESC, topic LIMIT 8", "asm_topic asm_topic_target")
 def worst_topics(spark, d):
     """The eight topics that are furthest below their quota."""
-    kept = _kept(spark, d, "topic_quota", F.col("s1").desc(), ["topic"])
-    return kept.groupBy("topic").agg((F.min("target") - F.sum("len")).cast("long").alias("shortfall")).orderBy(F.col("shortfall").desc(), "topic").limit(8)
+    return topic_shortfall(spark, d).orderBy(F.col("shortfall").desc(), "topic").limit(8)
 
 
 @query("SELECT doc_id, pass_name, len, round(CAST(score AS DOUBLE), 6) AS score FROM both_pool", "both_pool")
@@ -651,7 +747,7 @@ def _both(spark, d) -> DataFrame:
 def _refiltered(spark, d) -> tuple[DataFrame, DataFrame, int]:
     pool = stash(_both(spark, d), "both")
     target = int(pool.agg((F.sum("len") * 3 / 10).cast("long")).first()[0] or 0)
-    return pool, budget_fill(pool, [F.col("score").desc(), F.col("pass_name").desc(), F.col("doc_id").asc()], "len", target, method="two_phase"), target
+    return pool, budget_fill(pool, [F.col("score").desc(), F.col("pass_name").desc(), F.col("doc_id").asc()], "len", target, method="two_phase", lead=Lead(F.col("score"))), target
 
 
 @query("SELECT doc_id, pass_name, rn, before_len FROM refilter", "refilter")
@@ -672,10 +768,15 @@ def refilter_accounting(spark, d):
 
 @query("SELECT kept, count(*) AS n, round(min(CAST(score AS DOUBLE)), 6) AS lowest, round(quantile_cont(CAST(score AS DOUBLE), 0.1), 6) AS p10, round(quantile_cont(CAST(score AS DOUBLE), 0.5), 6) AS median, round(quantile_cont(CAST(score AS DOUBLE), 0.9), 6) AS p90, round(max(CAST(score AS DOUBLE)), 6) AS highest FROM (SELECT b.*, r.doc_id IS NOT NULL AS kept FROM both_pool b LEFT JOIN refilter r ON r.doc_id = b.doc_id AND r.pass_name = b.pass_name) GROUP BY kept", "both_pool refilter")
 def score_dist(spark, d):
+    """Five numbers of the kept and of the other rows; percentiles without a list of all values."""
     pool, kept, _ = _refiltered(spark, d)
-    s = F.col("score").cast("double")
-    marked = pool.join(kept.select("doc_id", "pass_name", F.lit(True).alias("kept")), ["doc_id", "pass_name"], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
-    return marked.groupBy("kept").agg(F.count("*").alias("n"), F.round(F.min(s), 6).alias("lowest"), *(F.round(F.percentile(s, p), 6).alias(n) for p, n in ((0.1, "p10"), (0.5, "median"), (0.9, "p90"))), F.round(F.max(s), 6).alias("highest"))
+    marked = stash(pool.join(kept.select("doc_id", "pass_name", F.lit(True).alias("kept")), ["doc_id", "pass_name"], "left").select(F.coalesce("kept", F.lit(False)).alias("kept"), F.col("score").cast("double").alias("score")), "marked")
+    ends = {r["kept"]: r for r in marked.groupBy("kept").agg(F.count("*").alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi")).collect()}  # two rows
+    lines = []
+    for k, r in ends.items():
+        p = exact_percentiles(marked.where(F.col("kept") == k), {"p10": ("score", 0.1), "median": ("score", 0.5), "p90": ("score", 0.9)})
+        lines.append((k, r["n"], *(round(x, 6) for x in (r["lo"], p["p10"], p["median"], p["p90"], r["hi"]))))
+    return spark.createDataFrame(lines, "kept boolean, n long, lowest double, p10 double, median double, p90 double, highest double")
 
 
 @query("SELECT doc_id, pass_name, rewritten_tokens, round(CAST(score AS DOUBLE), 6) AS score, round(CAST(ranking AS DOUBLE), 6) AS ranking FROM rescored", "rescored")
@@ -868,7 +969,7 @@ def base_rows(spark, d):
 
 def _strategy_rows(spark, d) -> DataFrame:
     """Rows of the kept rewrites: the keep set is narrow and finds its texts by key."""
-    kept = _kept(spark, d, "quality_prefix", F.col("s1").desc()).select("rewrite_id", "doc_id", "setting", "pass_name", "wrap_style", "rewritten_tokens")
+    kept = _kept(spark, d, "quality_prefix", _desc("s1")).select("rewrite_id", "doc_id", "setting", "pass_name", "wrap_style", "rewritten_tokens")
     text = table(spark, d, "rewritten").groupBy("rewrite_id").agg(F.min("rewritten").alias("text"))
     rows = kept.join(text, "rewrite_id").join(scored(spark, d).select("doc_id", "orig_doc_id"), "doc_id")
     return rows.select("rewrite_id", "orig_doc_id", "text", _source_prompt().alias("source_prompt"), F.coalesce("rewritten_tokens", F.lit(0)).cast("int").alias("tokens_llama2"))
@@ -891,7 +992,7 @@ def final_rows(spark, d):
 def final_shuffle(spark, d):
     """A document-level shuffle of the corpus: a range sort by hash, cut into parts of equal rows."""
     once = table(spark, d, "final").select("orig_doc_id", "source_prompt").distinct().withColumn("h", stream("shuffle", "orig_doc_id", "source_prompt"))
-    placed = running_sum(once, [F.col("h").asc(), F.col("orig_doc_id").asc(), F.col("source_prompt").asc()], F.lit(1))
+    placed = running_sum(once, [F.col("h").asc(), F.col("orig_doc_id").asc(), F.col("source_prompt").asc()], F.lit(1), hash_lead(F.col("h")))
     return placed.select("orig_doc_id", "source_prompt", F.col("rn").alias("place"), F.expr(f"(rn - 1) div {PART_ROWS}").alias("part_no"))
 
 

@@ -66,18 +66,27 @@ for _k, _order, _source, _goal in (
 
 
 def assembled(setting: str, key: str, group: str = "") -> str:
-    """A second-budget fill of one setting; the target is six tenths of its finished length."""
-    part = f"PARTITION BY {group} " if group else ""
-    target = f"sum(len) OVER ({part.strip()}) * 6 // 10"
-    return f"""SELECT * FROM (SELECT *, row_number() OVER ({part}ORDER BY tier, {key}, doc_id, rewrite_id) AS rn, CAST({target} AS BIGINT) AS target,
+    """A second-budget fill of one setting; the target is the budget, of a group its part by the source's tokens."""
+    part = f"PARTITION BY k.{group} " if group else ""
+    source, target = (f"(SELECT keyed.*, t.target FROM keyed JOIN asm_topic_target t ON t.{group} = keyed.{group}) k", "target") if group else ("keyed k", "(SELECT CAST(b AS DOUBLE) FROM budget)")
+    return f"""SELECT * FROM (SELECT k.* {"EXCLUDE (target)" if group else ""}, row_number() OVER ({part}ORDER BY tier, {key}, doc_id, rewrite_id) AS rn, {target} AS target,
         CAST(coalesce(sum(len) OVER ({part}ORDER BY tier, {key}, doc_id, rewrite_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before_len
-        FROM keyed WHERE setting = '{setting}') WHERE rn = 1 OR before_len < target"""
+        FROM {source} WHERE setting = '{setting}') WHERE rn = 1 OR before_len < target"""
 
 
-_CTES["asm_keyed"] = ("keyed", assembled("quality_prefix", "s1 DESC"))
-_CTES["asm_spread"] = ("keyed", assembled("disagreement", "u DESC"))
-_CTES["asm_random"] = ("keyed", assembled("styled_random", "md5('42:topup:' || rewrite_id)"))
-_CTES["asm_topic"] = ("keyed", assembled("topic_quota", "s1 DESC", "topic"))
+_CTES["sources"] = ("passes scored", "SELECT p.setting, p.doc_id, len, topic FROM (SELECT DISTINCT setting, doc_id FROM passes) p JOIN (SELECT doc_id, len, topic FROM scored) s ON p.doc_id = s.doc_id")
+_CTES["asm_topic_target"] = ("sources budget", "SELECT topic, CAST((SELECT b FROM budget) AS DOUBLE) * CAST(sum(len) AS DOUBLE) / (SELECT CAST(sum(len) AS DOUBLE) FROM sources WHERE setting = 'topic_quota') AS target FROM sources WHERE setting = 'topic_quota' GROUP BY topic")
+_CTES["asm_keyed"] = ("keyed budget", assembled("quality_prefix", "s1 DESC"))
+_CTES["asm_spread"] = ("keyed budget", assembled("disagreement", "u DESC"))
+_CTES["asm_random"] = ("keyed budget", assembled("styled_random", "substr(md5('42:topup:' || rewrite_id), 1, 12)"))
+_CTES["asm_topic"] = ("keyed asm_topic_target", assembled("topic_quota", "s1 DESC", "topic"))
+_CTES["listed"] = ("budget", "SELECT coalesce(lower(trim(topic)), '(none)') AS topic, max(target_share) * 2 * (SELECT b FROM budget) AS quota FROM topic_targets WHERE topic IS NOT NULL GROUP BY 1")
+_CTES["listed_fill"] = ("residual listed", """SELECT *, false AS topped_up FROM (SELECT r.*, quota, row_number() OVER (PARTITION BY r.topic ORDER BY q DESC, tie, doc_id) AS rn,
+        CAST(coalesce(sum(len) OVER (PARTITION BY r.topic ORDER BY q DESC, tie, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before_len
+        FROM residual r JOIN listed t ON r.topic = t.topic) WHERE rn = 1 OR before_len < quota""")
+_CTES["listed_missing"] = ("listed_fill budget", "SELECT 2 * (SELECT b FROM budget) - CAST((SELECT coalesce(sum(len), 0) FROM listed_fill) AS BIGINT) AS m")
+_CTES["listed_topup"] = ("listed_missing residual listed_fill", """SELECT * FROM (SELECT *, row_number() OVER (ORDER BY q DESC, tie, doc_id) AS rn, CAST(coalesce(sum(len) OVER (ORDER BY q DESC, tie, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before_len
+        FROM residual WHERE doc_id NOT IN (SELECT doc_id FROM listed_fill)) WHERE (SELECT m FROM listed_missing) > 0 AND (rn = 1 OR before_len < (SELECT m FROM listed_missing))""")
 
 
 def sql(query: str, needs: str = "") -> str:

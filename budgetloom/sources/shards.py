@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from budgetloom.operators.fill import running_sum
+from budgetloom.operators.fill import Lead, running_sum
 from budgetloom.operators.gates import Stop
 
 FINAL = T.StructType([T.StructField("orig_doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source_prompt", T.StringType()), T.StructField("tokens_llama2", T.IntegerType())])
@@ -36,7 +36,7 @@ def rows_per_file(spark: SparkSession, path: str) -> DataFrame:
 
 def plan_shards(ids: DataFrame, key: str, rows: int) -> DataFrame:
     """``ids`` with ``shard_index`` and ``row_in_shard``: ids in order, cut every ``rows`` rows."""
-    placed = running_sum(ids, [F.col(key).asc()], F.lit(1))
+    placed = running_sum(ids, [F.col(key).asc()], F.lit(1), Lead(F.col(key), False))
     return placed.withColumn("shard_index", F.expr(f"(rn - 1) div {rows}")).withColumn("row_in_shard", F.pmod(F.col("rn") - 1, F.lit(rows))).drop("rn", "before_len")
 
 

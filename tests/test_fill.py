@@ -6,7 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from budgetloom.operators.assemble import assemble
-from budgetloom.operators.fill import budget_fill, hash_fill, running_sum
+from budgetloom.operators.fill import Lead, budget_fill, hash_fill, hash_lead, running_sum, strict_fill
+from budgetloom.operators.gates import Stop
 
 
 def model(rows, target):
@@ -26,14 +27,14 @@ def table(spark, rows):
 @pytest.mark.parametrize("method", ["window", "two_phase"])
 @pytest.mark.parametrize("target,want", [(45, 3), (30, 2), (1000, 5), (0, 1), (-5, 1), (150, 5), (149, 5), (100, 4)])
 def test_acceptance(spark, method, target, want):
-    got = budget_fill(table(spark, [10, 20, 30, 40, 50]), [F.col("k").asc()], "n", target, method=method).orderBy("k").collect()
+    got = budget_fill(table(spark, [10, 20, 30, 40, 50]), [F.col("k").asc()], "n", target, method=method, lead=Lead(F.col("k"), False)).orderBy("k").collect()
     assert [r["k"] for r in got] == list(range(want))
     assert [r["before_len"] for r in got] == [0, 10, 30, 60, 100][:want]
 
 
 @pytest.mark.parametrize("method", ["window", "two_phase"])
 def test_empty(spark, method):
-    assert budget_fill(table(spark, [1]).limit(0), [F.col("k").asc()], "n", 10, method=method).count() == 0
+    assert budget_fill(table(spark, [1]).limit(0), [F.col("k").asc()], "n", 10, method=method, lead=Lead(F.col("k"), False)).count() == 0
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -43,24 +44,24 @@ def test_two_phase_is_the_window(spark, rows, target):
     order = [F.col("s").desc(), F.col("k").asc()]
     want = model([(i, n) for i, (s, n) in sorted(enumerate(rows), key=lambda x: (-x[1][0], x[0]))], target)
     for method in ("window", "two_phase"):
-        assert sorted(r["k"] for r in budget_fill(df, order, "n", target, method=method).collect()) == sorted(want)
+        assert sorted(r["k"] for r in budget_fill(df, order, "n", target, method=method, lead=Lead(F.col("s"))).collect()) == sorted(want)
 
 
 def test_running_sum_counts_places(spark):
-    got = running_sum(table(spark, [5, 1, 7]).repartition(3), [F.col("k").desc()], "n").orderBy("rn").collect()
+    got = running_sum(table(spark, [5, 1, 7]).repartition(3), [F.col("k").desc()], "n", Lead(F.col("k"))).orderBy("rn").collect()
     assert [(r["k"], r["rn"], r["before_len"]) for r in got] == [(2, 1, 0), (1, 2, 7), (0, 3, 8)]
 
 
 @pytest.mark.parametrize("method", ["window", "two_phase"])
 def test_by_group_with_quota_column(spark, method):
     df = spark.createDataFrame([("a", 1, 10, 15.0), ("a", 2, 10, 15.0), ("a", 3, 10, 15.0), ("b", 4, 1, 0.0)], "g string, k long, n long, q double")
-    assert {r["k"] for r in budget_fill(df, [F.col("k").asc()], "n", F.col("q"), ["g"], method).collect()} == {1, 2, 4}
+    assert {r["k"] for r in budget_fill(df, [F.col("k").asc()], "n", F.col("q"), ["g"], method, Lead(F.col("k"), False)).collect()} == {1, 2, 4}
 
 
 def test_hot_group_in_two_phases(spark):
     df = spark.range(4000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.pmod("id", F.lit(50)))).alias("g"), (F.col("id") % 7 + 1).alias("n"))
     order = [(F.col("k") % 11).desc(), F.col("k").asc()]
-    a, b = (sorted(tuple(r) for r in budget_fill(df.repartition(6), order, "n", 90, ["g"], m).select("k", "rn", "before_len").collect()) for m in ("window", "two_phase"))
+    a, b = (sorted(tuple(r) for r in budget_fill(df.repartition(6), order, "n", 90, ["g"], m, Lead(F.col("k") % 11)).select("k", "rn", "before_len").collect()) for m in ("window", "two_phase"))
     assert a == b
 
 
@@ -84,6 +85,29 @@ def test_assembly_is_the_two_branch_rule(spark, rows, target):
     total = sum(r[4] + 1 for r in first)
     want = [r[0] for r in first] + (model([(r[0], r[4] + 1) for r in second], target - total) if second else []) if total < target else model([(r[0], r[4] + 1) for r in first], target)
     df = spark.createDataFrame(data, "rewrite_id long, doc_id long, pass_name string, status int, rewritten_tokens long, s double")
-    got = assemble(df, F.col("s").desc(), target, method="window").collect()
-    if first or total < target:
-        assert sorted(r["rewrite_id"] for r in got) == sorted(want)
+    for method in ("window", "two_phase"):
+        got = assemble(df, -F.col("s"), target, method=method).collect()
+        if first or total < target:
+            assert sorted(r["rewrite_id"] for r in got) == sorted(want)
+
+
+def test_tie_floor_is_cut_by_the_hash(spark):
+    """Rows of one score value, in the order of their hashes, and the same rows with a few others."""
+    df = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 == 0, F.col("id") / 3000.0).otherwise(F.lit(0.04)).alias("s"), F.md5(F.col("id").cast("string")).alias("tie"), (F.col("id") % 5 + 1).alias("n"))
+    order = [F.col("s").desc(), F.col("tie").asc(), F.col("k").asc()]
+    lead = Lead(F.col("s"), True, F.col("tie"))
+    for target in (10, 4000, 10**6):
+        a, b = (sorted(tuple(r) for r in budget_fill(df.repartition(5), order, "n", target, method=m, lead=lead).select("k", "rn", "before_len").collect()) for m in ("window", "two_phase"))
+        assert a == b
+    h = F.md5(F.concat(F.lit("x"), F.col("k").cast("string")))
+    a, b = (sorted(r["k"] for r in budget_fill(df.withColumn("h", h), [F.col("h").asc(), F.col("k").asc()], "n", 500, method=m, lead=hash_lead(F.col("h"))).collect()) for m in ("window", "two_phase"))
+    assert a == b
+
+
+def test_strict_fill_stops(spark):
+    df = table(spark, [10, 20])
+    assert strict_fill(df, [F.col("k").asc()], "n", 30, "base", Lead(F.col("k"), False)).count() == 2
+    with pytest.raises(Stop, match="base: 30 of 31"):
+        strict_fill(df, [F.col("k").asc()], "n", 31, "base", Lead(F.col("k"), False))
+    with pytest.raises(Stop):
+        strict_fill(df.limit(0), [F.col("k").asc()], "n", 1, "base", Lead(F.col("k"), False))
