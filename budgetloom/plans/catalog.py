@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from budgetloom.functions import scores
+from budgetloom.functions import models, scores
 from budgetloom.functions import text as rules
 from budgetloom.functions.scores import stream
 from budgetloom.operators import assemble as asm
@@ -256,10 +256,11 @@ def block_ids(spark, d):
     return Selection(spark, d).blocks().select("block", "doc_id")
 
 
-@query("SELECT block, count(*) AS docs, CAST(sum(len) AS BIGINT) AS tokens, min(doc_id) AS id_min, max(doc_id) AS id_max, CAST(sum(doc_id) AS BIGINT) AS id_sum FROM blocks GROUP BY block", "blocks")
+@query("SELECT block, count(*) AS docs, CAST(sum(len) AS BIGINT) AS tokens, min(doc_id) AS id_min, max(doc_id) AS id_max, bit_xor(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT) AS id_digest FROM blocks GROUP BY block", "blocks")
 def block_digest(spark, d):
-    """Digest of id sets that does not depend on their order."""
-    return Selection(spark, d).blocks().groupBy("block").agg(F.count("*").alias("docs"), long(F.sum("len"), "tokens"), F.min("doc_id").alias("id_min"), F.max("doc_id").alias("id_max"), long(F.sum("doc_id"), "id_sum"))
+    """Digest of id sets that does not depend on their order: the exclusive or of each id's hash."""
+    h = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 15), 16, 10).cast("long")
+    return Selection(spark, d).blocks().groupBy("block").agg(F.count("*").alias("docs"), long(F.sum("len"), "tokens"), F.min("doc_id").alias("id_min"), F.max("doc_id").alias("id_max"), F.bit_xor(h).alias("id_digest"))
 
 
 @query("""SELECT block, '{"block":"' || block || '","docs":' || count(*) || ',"tokens":' || CAST(sum(len) AS BIGINT) || '}' AS manifest FROM blocks GROUP BY block""", "blocks")
@@ -592,20 +593,49 @@ def gate_both_passes(spark, d):
     return shards.join(F.broadcast(expected), "setting")
 
 
-@query("SELECT p.setting, p.shard_index, p.pass_name, coalesce(n, 0) AS found_rows, p.n_docs AS planned_rows, CASE WHEN coalesce(n, 0) = 0 THEN 'missing' WHEN n < p.n_docs THEN 'partial' ELSE 'complete' END AS state FROM (SELECT setting, shard_index, CAST(n_docs AS BIGINT) AS n_docs, pass_name FROM shard_plan, (VALUES ('p1'), ('distill')) k(pass_name)) p LEFT JOIN (SELECT setting, shard_index, pass_name, count(*) AS n FROM passes GROUP BY ALL) r ON r.setting = p.setting AND r.shard_index = p.shard_index AND r.pass_name = p.pass_name", "passes")
+_STATE = "CASE WHEN coalesce(n, 0) = 0 THEN 'missing' WHEN n < p.n_docs THEN 'partial' WHEN lo < doc_id_min OR hi > doc_id_max THEN 'misaligned' WHEN n > p.n_docs THEN 'surplus' ELSE 'complete' END"
+
+
+@query(f"SELECT p.setting, p.shard_index, p.pass_name, coalesce(n, 0) AS found_rows, p.n_docs AS planned_rows, {_STATE} AS state FROM (SELECT setting, shard_index, CAST(n_docs AS BIGINT) AS n_docs, doc_id_min, doc_id_max, pass_name FROM shard_plan, (VALUES ('p1'), ('distill')) k(pass_name)) p LEFT JOIN (SELECT setting, shard_index, pass_name, count(*) AS n, min(doc_id) AS lo, max(doc_id) AS hi FROM passes GROUP BY ALL) r ON r.setting = p.setting AND r.shard_index = p.shard_index AND r.pass_name = p.pass_name", "passes")
 def pilot_verify(spark, d):
-    """Expected shards against what was written: missing, partial or complete."""
-    planned = table(spark, d, "shard_plan").select("setting", "shard_index", long("n_docs", "planned_rows"), F.explode(F.array(F.lit("p1"), F.lit("distill"))).alias("pass_name"))
-    found = passes(spark, d).groupBy("setting", "shard_index", "pass_name").agg(F.count("*").alias("found_rows"))
+    """Expected shards against what was written: missing, partial, misaligned in their ids, of too many rows, or complete."""
+    planned = table(spark, d, "shard_plan").select("setting", "shard_index", long("n_docs", "planned_rows"), "doc_id_min", "doc_id_max", F.explode(F.array(F.lit("p1"), F.lit("distill"))).alias("pass_name"))
+    found = passes(spark, d).groupBy("setting", "shard_index", "pass_name").agg(F.count("*").alias("found_rows"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     rows = planned.join(found, ["setting", "shard_index", "pass_name"], "left").withColumn("found_rows", F.coalesce("found_rows", F.lit(0)))
-    return rows.withColumn("state", F.when(F.col("found_rows") == 0, "missing").when(F.col("found_rows") < F.col("planned_rows"), "partial").otherwise("complete"))
+    n, want = F.col("found_rows"), F.col("planned_rows")
+    outside = (F.col("lo") < F.col("doc_id_min")) | (F.col("hi") > F.col("doc_id_max"))
+    state = F.when(n == 0, "missing").when(n < want, "partial").when(outside, "misaligned").when(n > want, "surplus").otherwise("complete")
+    return rows.withColumn("state", state).drop("doc_id_min", "doc_id_max", "lo", "hi")
+
+
+#: Headroom over the target below which a pilot fails, in percent.
+LEAST_HEADROOM = 5.0
+
 
+@query(f"SELECT s.setting, incomplete, headroom_pct, CASE WHEN incomplete > 0 THEN 2 WHEN headroom_pct < {LEAST_HEADROOM} THEN 1 ELSE 0 END AS code FROM (SELECT setting, CAST(sum(CASE WHEN state <> 'complete' THEN 1 ELSE 0 END) AS BIGINT) AS incomplete FROM pilot_state GROUP BY setting) s JOIN yields y ON y.setting = s.setting", "pilot_state yields")
+def pilot_gate(spark, d):
+    """The code of each setting's pilot: 2 if shards are incomplete, 1 if the headroom is too small, else 0."""
+    states = pilot_verify(spark, d).groupBy("setting").agg(F.sum((F.col("state") != "complete").cast("long")).alias("incomplete"))
+    rows = states.join(yield_projection(spark, d).select("setting", "headroom_pct"), "setting")
+    return rows.withColumn("code", F.when(F.col("incomplete") > 0, 2).when(F.col("headroom_pct") < LEAST_HEADROOM, 1).otherwise(0))
 
-@query("SELECT r.setting, r.rewritten_docs, p.planned_docs, r.rewritten_docs = p.planned_docs AS ok FROM (SELECT setting, count(DISTINCT doc_id) AS rewritten_docs FROM passes GROUP BY setting) r JOIN (SELECT setting, CAST(sum(n_docs) AS BIGINT) AS planned_docs FROM shard_plan GROUP BY setting) p ON r.setting = p.setting", "passes")
+
+@query("SELECT p.setting, coalesce(r.tokens, 0) AS rewritten_tokens, p.tokens AS planned_tokens, coalesce(r.docs, 0) AS rewritten_docs, p.docs AS planned_docs, coalesce(r.tokens, 0) = p.tokens AS ok FROM (SELECT setting, CAST(sum(source_train_tokens) AS BIGINT) AS tokens, CAST(sum(n_docs) AS BIGINT) AS docs FROM shard_plan GROUP BY setting) p LEFT JOIN (SELECT setting, CAST(sum(len) AS BIGINT) AS tokens, count(*) AS docs FROM sources GROUP BY setting) r ON r.setting = p.setting", "sources")
 def gate_token_reconcile(spark, d):
-    r = passes(spark, d).groupBy("setting").agg(F.countDistinct("doc_id").alias("rewritten_docs"))
-    p = table(spark, d, "shard_plan").groupBy("setting").agg(long(F.sum("n_docs"), "planned_docs"))
-    return r.join(F.broadcast(p), "setting").withColumn("ok", F.col("rewritten_docs") == F.col("planned_docs"))
+    """Source tokens of what was rewritten against what the plan says."""
+    r = _sources(spark, d).groupBy("setting").agg(long(F.sum("len"), "rewritten_tokens"), F.count("*").alias("rewritten_docs"))
+    p = table(spark, d, "shard_plan").groupBy("setting").agg(long(F.sum("source_train_tokens"), "planned_tokens"), long(F.sum("n_docs"), "planned_docs"))
+    rows = F.broadcast(p).join(r, "setting", "left").na.fill(0, ["rewritten_tokens", "rewritten_docs"])  # one row a setting
+    return rows.withColumn("ok", F.col("rewritten_tokens") == F.col("planned_tokens"))
+
+
+@query("SELECT setting, count(CASE WHEN NOT known THEN 1 END) AS unknown_ids, count(CASE WHEN n = 1 THEN 1 END) AS one_pass_only, count(CASE WHEN NOT known THEN 1 END) = 0 AS ok FROM (SELECT setting, doc_id, count(DISTINCT pass_name) AS n, doc_id IN (SELECT doc_id FROM scored) AS known FROM passes WHERE doc_id IS NOT NULL GROUP BY setting, doc_id) GROUP BY setting", "passes scored")
+def gate_pass_ids(spark, d):
+    """Ids of rewrites that the pool does not have, which would vanish in joins, and ids with one pass only."""
+    p = passes(spark, d).where("doc_id is not null").groupBy("setting", "doc_id").agg(F.countDistinct("pass_name").alias("n"))
+    known = p.join(scored(spark, d).select("doc_id", F.lit(True).alias("known")), "doc_id", "left")
+    rows = known.groupBy("setting").agg(when_count(F.col("known").isNull()).alias("unknown_ids"), when_count(F.col("n") == 1).alias("one_pass_only"))
+    return rows.withColumn("ok", F.col("unknown_ids") == 0)
 
 
 @query("SELECT 'base is filled' AS check_name, sum(len) >= (SELECT b FROM budget) AS ok, CAST(sum(len) AS BIGINT) AS detail FROM base UNION ALL SELECT 'feasible is enough', sum(len) >= (SELECT 2 * b FROM budget), CAST(sum(len) AS BIGINT) FROM feasible", "base feasible budget")
@@ -735,6 +765,20 @@ def worst_topics(spark, d):
     return topic_shortfall(spark, d).orderBy(F.col("shortfall").desc(), "topic").limit(8)
 
 
+#: Distill shares of an earlier run, in percent of the kept tokens.
+EARLIER_DISTILL = {"quality_prefix": 34.9, "styled_random": 16.9, "disagreement": 29.1}
+
+
+@query("SELECT a.setting, round(100.0 * sum(CASE WHEN tier > 0 THEN len ELSE 0 END) / greatest(1, sum(len)), 4) AS distill_pct, any_value(e.pct) AS earlier_pct, round(round(100.0 * sum(CASE WHEN tier > 0 THEN len ELSE 0 END) / greatest(1, sum(len)), 4) - any_value(e.pct), 4) AS difference FROM (SELECT 'quality_prefix' AS setting, len, tier FROM asm_keyed UNION ALL SELECT 'styled_random', len, tier FROM asm_random UNION ALL SELECT 'disagreement', len, tier FROM asm_spread) a JOIN (VALUES ('quality_prefix', 34.9::DOUBLE), ('styled_random', 16.9), ('disagreement', 29.1)) e(setting, pct) ON e.setting = a.setting GROUP BY a.setting", "asm_keyed asm_random asm_spread")
+def distill_share(spark, d):
+    """The second pass's part of what each arm kept, beside that of an earlier run."""
+    ranks = {"quality_prefix": _desc("s1"), "styled_random": _random("topup", "rewrite_id"), "disagreement": _desc("u")}
+    kept = reduce(DataFrame.unionByName, [_kept(spark, d, name, rank).select("setting", "len", "tier") for name, rank in ranks.items()])
+    one = kept.groupBy("setting").agg(F.round(100.0 * when_sum(F.col("tier") > 0) / F.greatest(F.lit(1), F.sum("len")), 4).alias("distill_pct"))
+    earlier = F.broadcast(spark.createDataFrame(list(EARLIER_DISTILL.items()), "setting string, earlier_pct double"))  # three rows
+    return one.join(earlier, "setting").withColumn("difference", F.round(F.col("distill_pct") - F.col("earlier_pct"), 4))
+
+
 @query("SELECT doc_id, pass_name, len, round(CAST(score AS DOUBLE), 6) AS score FROM both_pool", "both_pool")
 def both_pass_pool(spark, d):
     return _both(spark, d).select("doc_id", "pass_name", "len", r6("score", "score"))
@@ -792,9 +836,9 @@ def collect_pass(spark, d):
 # ---------------------------------------------------------------- text functions
 
 
-def _texted(spark, d, name: str, expr) -> DataFrame:
-    rows = passes(spark, d, text=True)
-    return rows.select("rewrite_id", expr.alias("x")).select("rewrite_id", long(F.length("x"), "n_chars"), F.md5("x").alias("md5"))
+def _texted(spark, d, expr) -> DataFrame:
+    rows = table(spark, d, "rewritten").select("rewrite_id", expr.alias("x")).select("rewrite_id", long(F.length("x"), "n_chars"), F.md5("x").alias("md5"))
+    return rows.groupBy("rewrite_id").agg(F.min(F.struct("n_chars", "md5")).alias("x")).select("rewrite_id", "x.*")  # the texts are not shuffled
 
 
 def _texted_sql(x: str) -> str:
@@ -803,32 +847,32 @@ def _texted_sql(x: str) -> str:
 
 @query(_texted_sql("substr(translate(coalesce(rewritten, ''), chr(10) || chr(13), '  '), 1, 100000)"), "passes")
 def clean_text(spark, d):
-    return _texted(spark, d, "x", rules.clean(F.col("rewritten")))
+    return _texted(spark, d, rules.clean(F.col("rewritten")))
 
 
 @query(_texted_sql(o.strip_prefix("rewritten")), "passes")
 def strip_prefix(spark, d):
-    return _texted(spark, d, "x", rules.strip_prefix(F.col("rewritten")))
+    return _texted(spark, d, rules.strip_prefix(F.col("rewritten")))
 
 
 @query(_texted_sql(o.strip_leak("rewritten")), "passes")
 def strip_leak(spark, d):
-    return _texted(spark, d, "x", rules.strip_leak(F.col("rewritten")))
+    return _texted(spark, d, rules.strip_leak(F.col("rewritten")))
 
 
 @query(_texted_sql(o.strip_distill("rewritten")), "passes")
 def strip_distill(spark, d):
-    return _texted(spark, d, "x", rules.strip_distill(F.col("rewritten")))
+    return _texted(spark, d, rules.strip_distill(F.col("rewritten")))
 
 
 @query(_texted_sql(o.strip_styled("rewritten")), "passes")
 def strip_styled(spark, d):
-    return _texted(spark, d, "x", rules.strip_styled(F.col("rewritten")))
+    return _texted(spark, d, rules.strip_styled(F.col("rewritten")))
 
 
 @query(_texted_sql(o.strip_by("setting", "pass_name", "rewritten")), "passes")
 def strip_dispatch(spark, d):
-    return _texted(spark, d, "x", rules.strip_by(F.col("setting"), F.col("pass_name"), F.col("rewritten")))
+    return _texted(spark, d, rules.strip_by(F.col("setting"), F.col("pass_name"), F.col("rewritten")))
 
 
 @query(f"SELECT setting, pass_name, count(*) AS n, count(CASE WHEN after <> before THEN 1 END) AS stripped, CAST(sum(wb) AS BIGINT) AS words_before, CAST(sum(wa) AS BIGINT) AS words_after FROM (SELECT setting, pass_name, before, after, {o.word_count('before')} AS wb, {o.word_count('after')} AS wa FROM (SELECT setting, pass_name, coalesce(rewritten, '') AS before, coalesce({o.strip_by('setting', 'pass_name', 'rewritten')}, '') AS after FROM done)) GROUP BY setting, pass_name", "done")
@@ -839,7 +883,30 @@ def strip_accounting(spark, d):
 
 @query(f"SELECT rewrite_id, {o.word_count('rewritten')} AS n FROM passes", "passes")
 def token_count(spark, d):
-    return passes(spark, d, text=True).select("rewrite_id", rules.word_count(F.col("rewritten")).alias("n"))
+    """Tokens of each answer by a tokenizer that is a parameter; here the stand-in."""
+    return _narrow(spark, d, models.token_counter(models.pieces)(F.col("rewritten")).alias("n"))
+
+
+@query(f"SELECT doc_id, {o.word_count("replace('Restate the text below without adding facts. Text: [TEXT] End.', '[TEXT]', coalesce(text, ''))")} AS n FROM pool_texts", "pool_texts")
+def templated_length(spark, d):
+    """Input length of a request: tokens of the whole prompt."""
+    rows = table(spark, d, "pool").where("doc_id is not null").select("doc_id", models.token_counter(models.pieces)(rules.prompt(_TEMPLATE, F.col("text"))).alias("n"))
+    return rows.groupBy("doc_id").agg(F.min("n").alias("n"))
+
+
+@query("SELECT rewrite_id, round(CASE WHEN coalesce(length(rewritten), 0) = 0 THEN 0 WHEN length(rewritten) % 2 = 0 THEN 0.5 + (length(rewritten) % 50) / 100.0 ELSE 0.5 - (length(rewritten) % 50) / 100.0 END, 6) AS raw FROM passes", "passes")
+def score_raw(spark, d):
+    """The raw score of each answer by a classifier that is a parameter; here the stand-in."""
+    c = models.classifier(models.by_length)(F.col("rewritten"))
+    rows = table(spark, d, "rewritten").select("rewrite_id", "rewritten", c.alias("c"))
+    return rows.select("rewrite_id", r6(models.raw_score(F.col("rewritten"), F.col("c.label"), F.col("c.p")), "raw")).groupBy("rewrite_id").agg(F.min("raw").alias("raw"))
+
+
+def _narrow(spark, d, *columns) -> DataFrame:
+    """Columns made of the answers, once a rewrite_id: what is made is shuffled, not the texts."""
+    rows = table(spark, d, "rewritten").select("rewrite_id", *columns)
+    names = [c for c in rows.columns if c != "rewrite_id"]
+    return rows.groupBy("rewrite_id").agg(F.min(F.struct(*names)).alias("x")).select("rewrite_id", "x.*")
 
 
 def _sourced(spark, d) -> DataFrame:
@@ -862,7 +929,7 @@ def flag_format_only(spark, d):
 
 @query("SELECT rewrite_id, coalesce(length(rewritten) >= 50 AND (SELECT max(c) FROM (SELECT count(*) AS c FROM (SELECT unnest(list_transform(range(0, greatest(length(rewritten) - 49, 0), 10), lambda k: substr(rewritten, k + 1, 50))) AS s) GROUP BY s)) >= 5, false) AS repeats FROM passes", "passes")
 def flag_repetition(spark, d):
-    return passes(spark, d, text=True).select("rewrite_id", rules.repeats(F.col("rewritten")).alias("repeats"))
+    return _narrow(spark, d, rules.repeats(F.col("rewritten")).alias("repeats"))
 
 
 @query("SELECT rewrite_id, coalesce(rewritten_tokens < 20 AND input_tokens_qwen > 200, false) AS short FROM passes", "passes")
@@ -879,15 +946,18 @@ def prompt_content(spark, d):
     return p.select("doc_id", F.md5("p").alias("prompt_md5"), long(F.length("p"), "n_chars"))
 
 
-@query("SELECT doc_id, list_extract(['easy', 'hard', 'wiki', 'qa'], CAST(('0x' || substr(md5('42:style:' || doc_id), 1, 8))::BIGINT % 4 + 1 AS BIGINT)) AS style FROM scored", "scored")
+@query(f"SELECT doc_id, list_extract(['easy', 'hard', 'wiki', 'qa'], CAST(('0x' || substr(md5('42:style:' || doc_id // {SHARD_ROWS} || ':' || doc_id % {SHARD_ROWS}), 1, 8))::BIGINT % 4 + 1 AS BIGINT)) AS style FROM scored", "scored")
 def assign_style(spark, d):
-    return scored(spark, d).select("doc_id", rules.style_of(42, "doc_id").alias("style"))
+    """A style for each row of a shard, drawn from the shard's own stream by place, whatever else is in the run."""
+    rows = scored(spark, d).select("doc_id", F.expr(f"doc_id div {SHARD_ROWS}").alias("shard"), F.pmod("doc_id", F.lit(SHARD_ROWS)).cast("long").alias("row"))
+    return rows.select("doc_id", rules.style_of(42, "shard", "row").alias("style"))
 
 
-@query("SELECT wrap_style, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS pct, CAST(sum(len) AS BIGINT) AS tokens FROM done WHERE setting = 'styled_random' AND pass_name = 'p1' GROUP BY wrap_style", "done")
+@query("SELECT wrap_style, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS pct, CAST(sum(len) AS BIGINT) AS tokens, abs(round(100.0 * count(*) / sum(count(*)) OVER (), 4) - 25) <= 0.5 AS ok FROM done WHERE setting = 'styled_random' AND pass_name = 'p1' GROUP BY wrap_style", "done")
 def style_balance(spark, d):
     rows = asm.completed(passes(spark, d)).where("setting = 'styled_random' and pass_name = 'p1'").groupBy("wrap_style").agg(F.count("*").alias("n"), long(F.sum("len"), "tokens"))
-    return rows.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))), 4))  # one row for each style
+    rows = rows.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))), 4))  # one row for each style
+    return rows.withColumn("ok", F.abs(F.col("pct") - 25) <= 0.5)
 
 
 @query("SELECT doc_id, md5(text) AS md5, sha256(text) AS sha256 FROM pool_texts", "pool_texts")

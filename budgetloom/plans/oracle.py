@@ -89,6 +89,13 @@ _CTES["listed_topup"] = ("listed_missing residual listed_fill", """SELECT * FROM
         FROM residual WHERE doc_id NOT IN (SELECT doc_id FROM listed_fill)) WHERE (SELECT m FROM listed_missing) > 0 AND (rn = 1 OR before_len < (SELECT m FROM listed_missing))""")
 
 
+_CTES["pilot_state"] = ("passes", """SELECT p.setting, CASE WHEN coalesce(n, 0) = 0 THEN 'missing' WHEN n < p.n_docs THEN 'partial' WHEN lo < doc_id_min OR hi > doc_id_max THEN 'misaligned' WHEN n > p.n_docs THEN 'surplus' ELSE 'complete' END AS state
+    FROM (SELECT setting, shard_index, CAST(n_docs AS BIGINT) AS n_docs, doc_id_min, doc_id_max, pass_name FROM shard_plan, (VALUES ('p1'), ('distill')) k(pass_name)) p
+    LEFT JOIN (SELECT setting, shard_index, pass_name, count(*) AS n, min(doc_id) AS lo, max(doc_id) AS hi FROM passes GROUP BY ALL) r ON r.setting = p.setting AND r.shard_index = p.shard_index AND r.pass_name = p.pass_name""")
+_CTES["yields"] = ("calibration", """SELECT setting, round(100.0 * ((max(CASE WHEN pass_name = 'p1' THEN r END) + max(CASE WHEN pass_name = 'distill' THEN r END)) * 2 - 1), 4) AS headroom_pct
+    FROM (SELECT setting, pass_name, round(sum(out_tokens) / greatest(1, sum(src_tokens)), 6) AS r FROM calibration GROUP BY setting, pass_name) GROUP BY setting""")
+
+
 def sql(query: str, needs: str = "") -> str:
     """The query with the common tables it needs in front."""
     order: list[str] = []

@@ -55,6 +55,66 @@ def shard_index(shards: DataFrame, key: str, length: str) -> DataFrame:
     return shards.groupBy("shard_index").agg(F.count("*").alias("n_rows"), F.min(key).alias("id_min"), F.max(key).alias("id_max"), F.sum(length).cast("long").alias("tokens"))
 
 
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """All shards of a source that are written."""
+    return spark.read.parquet(path)
+
+
+def write_missing_shards(spark: SparkSession, planned: DataFrame, texts: DataFrame, key: str, out: str) -> int:
+    """Write the planned shards that are not there in full; the number of shards written.
+
+    A shard counts as there if its rows and its least and greatest key are those
+    planned.  Texts are cut down to the wanted keys before anything else is done
+    with them, and a shard's folder is replaced as a whole.
+    """
+    plan = planned.groupBy("shard_index").agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+    if exists(spark, out):
+        there = read_shards(spark, out).groupBy(F.col("shard_index").cast("long").alias("shard_index")).agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+        plan = plan.join(there, ["shard_index", "n", "lo", "hi"], "left_anti")
+    missing = plan.count()
+    if missing:
+        rows = planned.join(plan.select("shard_index"), "shard_index", "left_semi").join(texts, key)
+        writer = rows.repartition("shard_index").sortWithinPartitions("shard_index", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.option("compression", "zstd").partitionBy("shard_index").parquet(out)
+    return missing
+
+
+def write_index(spark: SparkSession, index: DataFrame, path: str) -> None:
+    """The shard index as JSON lines, one a shard."""
+    index.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """(shard_index, n_rows, id_min, id_max, tokens) of a source; stops where shards are missing from the count or ids run over."""
+    index = spark.read.schema("shard_index long, n_rows long, id_min long, id_max long, tokens long").json(path)
+    bad = index.agg((F.max("shard_index") + 1 - F.count("*")).alias("gap"), F.count_if(F.col("n_rows").isNull() | (F.col("id_min") > F.col("id_max"))).alias("wrong")).first()
+    if bad["gap"] is None or bad["gap"] or bad["wrong"]:
+        raise Stop(f"{path} is no whole shard index")
+    return index
+
+
+def write_parts(placed: DataFrame, place: str, out: str, part_rows: int) -> None:
+    """The corpus in its fixed schema, in parts of exactly ``part_rows`` rows but for the last, by place from 1."""
+    part = F.expr(f"({place} - 1) div {part_rows}").cast("int").alias("part")
+    fixed = placed.select(*(F.col(f.name).cast(f.dataType) for f in FINAL), part, F.col(place).alias("__place"))
+    fixed.repartition("part").sortWithinPartitions("part", "__place").drop("__place").write.mode("overwrite").option("compression", "zstd").partitionBy("part").parquet(out)
+
+
+def require(spark: SparkSession, stage: str, out: str) -> DataFrame:
+    """The table of a stage that is done; stops where it is not."""
+    if not exists(spark, f"{out}.manifest"):
+        raise Stop(f"{stage} is not done: {out}")
+    read_manifest(spark, f"{out}.manifest", stage)
+    return spark.read.parquet(out)
+
+
+def remove(spark: SparkSession, out: str) -> None:
+    """Remove a stage's table and its manifest."""
+    for path in (f"{out}.manifest", out):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_final(rows: DataFrame, out: str, part_rows: int = 200_000) -> None:
     """The corpus in its fixed schema, in parts of at most ``part_rows`` rows."""
     fixed = rows.select(*(F.col(f.name).cast(f.dataType) for f in FINAL))
