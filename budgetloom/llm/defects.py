@@ -4,8 +4,9 @@ For each defect several noisy labelling functions vote for (+1) or against (-1)
 it, or abstain (0).  The votes of all rows are counted by pattern, of which
 there are few whatever the corpus, and an expectation-maximization label model
 learns each function's accuracy from these counts.  A row keeps every defect
-whose posterior exceeds the defect's cutoff; for copies, languages and empty
-answers the exact measure of the definition is checked as well.
+whose posterior exceeds the defect's cutoff; for copies and empty answers the
+exact measure of the definition, which is no voter, is checked after it, and for
+languages that more functions vote for it than against.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from budgetloom.llm.arrow import over_batches
+from budgetloom.llm.languages import SAMPLES, by_trigrams
 from budgetloom.llm.shingles import WORD, hashes_of, mix, runs
 from budgetloom.session import stash
 
@@ -26,14 +28,14 @@ from budgetloom.session import stash
 DEFECTS = ("empty", "refusal", "copy", "language", "truncated")
 #: Posteriors that a defect has to exceed, and the functions that vote on it.
 CUTOFFS = {"empty": 0.5, "refusal": 0.5, "copy": 0.5, "language": 0.5, "truncated": 0.5}
-VOTERS = {"empty": 2, "refusal": 7, "copy": 4, "language": 4, "truncated": 8}
+VOTERS = {"empty": 2, "refusal": 8, "copy": 4, "language": 5, "truncated": 8}
 COPY_RUN, COPY_SHARE = 6, 0.9
 
 # ---------------------------------------------------------------- the answer without its announcement
 
 _TASK = r"(?:version|passage|text|summary|rewrit\w*|reword\w*|paraphras\w*|condens\w*|simplif\w*|fassung|résumé|resumen|versión|texte|texto)"
 _ANNOUNCES = re.compile(
-    rf"^\W*(?:(?:sure|certainly|of course|okay|ok|absolutely|gladly)\b[^\n]{{0,20}}?)?(?:here(?:'s|’s| is| are)|below is|the following is|this is|hier ist|voici|aquí (?:está|tiene))\b[^\n]{{0,90}}\b{_TASK}\b[^\n]{{0,40}}[:.]\W*$"
+    rf"^\W*(?:(?:sure|certainly|of course|okay|ok|absolutely|gladly)\b[^\n]{{0,20}}?)?(?:here(?:'s|’s| is| are)|below is|the following is|this is|hier ist|voici|aquí (?:está|tiene))\b[^\n]*\b{_TASK}\b[^\n]*[:.]\W*$"
     rf"|^\W*(?:\w+ ){{0,2}}{_TASK}\W*$",
     re.IGNORECASE,
 )
@@ -44,7 +46,7 @@ def body(text: str | None) -> str:
     """The answer without an announcement line before it and without outer blanks."""
     text = (text or "").strip(_BLANK)
     line, _, rest = text.partition("\n")
-    if len(line) <= 140 and _ANNOUNCES.match(line) and (rest.strip(_BLANK) or line.rstrip(_BLANK)[-1:] in ":." or line[:1] in "#*"):
+    if (len(line) <= 140 or line.rstrip(_BLANK)[-1:] == ":") and _ANNOUNCES.match(line) and (rest.strip(_BLANK) or line.rstrip(_BLANK)[-1:] in ":." or line[:1] in "#*"):
         return rest.strip(_BLANK)
     return text
 
@@ -76,6 +78,27 @@ _FOREIGN = re.compile(
     r"|lo siento|no puedo|no me es posible|como modelo|por favor,? (?:envíe|proporcione)|esta solicitud)",
     re.IGNORECASE,
 )
+#: Words of a speaker about himself, of what he does not do, and of the task, in several languages; a refusal has all three close together and little of the source.
+_SELF = set("i me my myself im ive id ich mir mich mein meiner je moi me mon ma yo mí mi me io mi mio eu mim meu ik mij mijn mnie mój mi jestem this assistant model ai".split())
+_NOT = set(
+    "not cannot cant can't won't wont unable decline refuse refusing never no nothing against sorry apologies apologize apologise unfortunately regret inappropriate uncomfortable avoid pass skip abstain"
+    " nicht kein keine leider verweigere ablehnen lehne unmöglich ne pas impossible refuse désolé désolée malheureusement no siento imposible niego rechazo non impossibile rifiuto dispiace purtroppo não impossível recuso desculpe infelizmente niet geen helaas weiger onmogelijk nie niestety odmawiam przykro".split()
+)
+_TASK_WORDS = set(
+    "rewrite rewriting reword rephrase rephrasing paraphrase paraphrasing summarize summarise restate text passage content material request task prompt document excerpt input instruction instructions topic version policy policies guidelines help assist"
+    " text umschreiben umformulieren anfrage aufgabe bitte inhalt abschnitt texte réécrire reformuler demande tâche contenu passage texto reescribir reformular solicitud tarea contenido testo riscrivere riformulare richiesta compito contenuto brano reescrever pedido tarefa conteúdo tekst herschrijven verzoek taak inhoud przepisać prośba zadanie treść tekstu".split()
+)
+
+
+def speaks_of_task(sentences: list[str]) -> bool:
+    """Whether two neighbouring sentences speak of the speaker, of not doing, and of the task, and none is said by another."""
+    for pair in _pairs(sentences):
+        words = WORD.findall(pair.lower().replace("'t", "t").replace("’t", "t"))
+        if not _SELF.isdisjoint(words) and not _NOT.isdisjoint(words) and not _TASK_WORDS.isdisjoint(words) and not _SAID.search(pair):
+            return True
+    return False
+
+
 _SAID = re.compile(r"^\W*[\"“«]|[\"”»,] \w+(?: \w+){0,3} (?:told|said|wrote)\b|\b(?:told|said|wrote) (?:the|with|to)\b", re.IGNORECASE)
 
 
@@ -121,6 +144,7 @@ def refusal_votes(answer: str, words: list[str], known: set[str], sentences: lis
         -1 if said else 0,
         1 if short and held < 0.25 and len(words) > 2 else -1 if held > 0.5 or not short else 0,
         0 if not declines else -1 if at and held > 0.5 else 0 if at else 1,
+        1 if held < 0.35 and speaks_of_task(sentences) else -1 if held > 0.6 else 0,
     ]
 
 
@@ -137,6 +161,13 @@ _OF_WORD: dict[str, str] = {}
 for _lang, _list in FREQUENT.items():
     for _w in _list.split():
         _OF_WORD[_w] = "" if _w in _OF_WORD and _OF_WORD[_w] != _lang else _lang
+# further languages have the words that none of those above has
+_FURTHER: dict[str, str] = {}
+for _lang, _text in SAMPLES.items():
+    for _w in _text.partition("|")[2].split() if _lang not in FREQUENT else ():
+        if len(_w) > 1 and _w not in _OF_WORD:
+            _FURTHER[_w] = "" if _w in _FURTHER and _FURTHER[_w] != _lang else _lang
+_OF_WORD |= _FURTHER
 _SCRIPTS = (("ja", re.compile(r"[぀-ヿ]")), ("zh", re.compile(r"[一-鿿]")), ("ru", re.compile(r"[Ѐ-ӿ]")), ("ko", re.compile(r"[가-힯]")), ("ar", re.compile(r"[؀-ۿ]")))
 _MARKS = {"de": "äöüß", "fr": "èàùâêîôûçœ", "es": "ñ¿¡áíóú"}
 _SENTENCE = re.compile(r"[^.!?\n。！？]+[.!?。！？]*")
@@ -164,6 +195,8 @@ def language(text: str, words: list[str]) -> tuple[str, float]:
     if not votes:
         return "", 0.0
     best, n = votes.most_common(1)[0]
+    if best not in FREQUENT and n < 3:  # a single word of a further language says little
+        return "", 0.0
     return best, n / votes.total()
 
 
@@ -192,21 +225,26 @@ def language_shares(text: str) -> dict[str, float]:
     return {k: v / total for k, v in out.items()} if total else {}
 
 
-def language_votes(answer: str, words: list[str], of_source: str, source: str) -> tuple[list[int], bool]:
-    """Votes on another language by: frequent words, sentences, letters, clear mismatch; and the exact measure."""
+#: How much likelier a trigram has to be under the first language for a vote.
+CLEAR = 0.12
+
+
+def language_votes(answer: str, words: list[str], of_source: str, source: str) -> list[int]:
+    """Votes on another language by: frequent words, sentences, letters, clear mismatch, trigrams."""
     if not of_source or not words:
-        return [-1, -1, 0, 0], False
+        return [-1, -1, 0, 0, 0]
     lang, clear = language(answer, words)
-    # sentence by sentence only where frequent words of several languages stand side by side
-    shares = {lang: 1.0} if clear > 0.97 else language_shares(answer)
+    shares = language_shares(answer)
     other = sum(v for k, v in shares.items() if k != of_source)
     marks, marks_of_source = by_marks(answer), by_marks(source)
+    grams, surely = ("", 0.0) if _script(answer) or _script(source) else by_trigrams(answer)
     return [
         0 if not lang else 1 if lang != of_source else -1,
         0 if not shares else 1 if other > 0.5 else -1,
         0 if not marks or not marks_of_source else 1 if marks != marks_of_source else -1,
         0 if not lang else 1 if lang != of_source and clear > 0.8 else -1 if lang == of_source and clear > 0.8 else 0,
-    ], other > 0.5
+        0 if not grams or surely < CLEAR else 1 if grams != of_source else -1,
+    ]
 
 
 # ---------------------------------------------------------------- broken off
@@ -328,7 +366,7 @@ def judge(answers: list[str | None], sources: list[str | None], status: list[int
     bodies = [body(a) for a in answers]
     texts = [s or "" for s in sources]
     all_words, all_source_words = ([WORD.findall(t.lower()) for t in x] for x in (bodies, texts))
-    six, three = copied_shares(all_words, all_source_words, (COPY_RUN, 3))
+    six, three, long = copied_shares(all_words, all_source_words, (COPY_RUN, 3, 2 * COPY_RUN))
     out: dict[str, list] = {d: [] for d in DEFECTS} | {"is_copy": [], "is_foreign": [], "is_empty": []}
     for i, (answer, source) in enumerate(zip(bodies, texts)):
         words, source_words = all_words[i], all_source_words[i]
@@ -336,15 +374,18 @@ def judge(answers: list[str | None], sources: list[str | None], status: list[int
         sentences = _SENTENCE.findall(answer)
         empty = not words
         of_source = language(source, source_words)[0]
+        if not of_source and len(source) >= 200:
+            guess, surely = by_trigrams(source)
+            of_source = guess if surely >= 2 * CLEAR else ""
         ratio = len(words) / max(1, len(source_words))
-        foreign, is_foreign = language_votes(answer, words, of_source, source)
-        out["empty"].append(_code([1 if empty else -1, 1 if empty else 0]))
-        out["refusal"].append(_code([-1] * 7 if empty else refusal_votes(answer, words, known, sentences)))
-        out["copy"].append(_code([-1] * 4 if empty else [1 if six[i] >= COPY_SHARE else -1, 1 if three[i] >= 0.93 else -1, 1 if six[i] >= 0.5 and len(words) >= COPY_RUN else -1, 0 if ratio >= 0.3 else -1 if ratio < 0.02 else 0]))
+        out["empty"].append(_code([1 if len(words) <= 2 else -1, 1 if sum(map(str.isalnum, answer)) <= 8 else -1]))
+        out["refusal"].append(_code([-1] * 8 if empty else refusal_votes(answer, words, known, sentences)))
+        out["copy"].append(_code([-1] * 4 if empty else [1 if three[i] >= COPY_SHARE else -1, 1 if long[i] >= 0.5 else -1 if long[i] < 0.2 and len(words) > 4 * COPY_RUN else 0, 1 if six[i] >= 0.5 and len(words) >= COPY_RUN else -1, 0 if ratio >= 0.3 else -1 if ratio < 0.02 else 0]))
+        foreign = language_votes(answer, words, of_source, source)
         out["language"].append(_code(foreign))
+        out["is_foreign"].append(sum(foreign) > 0)
         out["truncated"].append(_code([-1, 0, 0, 0, 0, 0, 0, 0] if empty else truncated_votes(answer, status[i], reason[i])))
         out["is_copy"].append(bool(six[i] >= COPY_SHARE))
-        out["is_foreign"].append(is_foreign)
         out["is_empty"].append(empty)
     return out
 

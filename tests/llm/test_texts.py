@@ -149,6 +149,43 @@ def test_refusals_after_a_preamble(spark):
     assert {r["rewrite_id"] for r in labels.where("defect = 'refusal'").collect() if r["rewrite_id"] >= 500} == {500 + i for i in range(len(LATE))}
 
 
+#: Labelled by hand, and used for nothing but this test.
+HELD_OUT = [
+    ("La biblioteca presta gli attrezzi a tutti gli abitanti del paese e ogni anno a marzo l'archivio è pieno di visitatori che sono venuti da lontano.", "language"),
+    ("De vereniging leent het gereedschap gratis uit aan de bewoners, en elk jaar in maart is het archief vol met bezoekers die van ver zijn gekomen.", "language"),
+    ("Towarzystwo wypożycza narzędzia bez opłat, a w marcu archiwum jest pełne gości, którzy przyjechali z daleka i chcą zobaczyć zbiory.", "language"),
+    ("A associação empresta as ferramentas sem custo aos moradores, e em março o arquivo fica cheio de visitantes que vieram de longe.", "language"),
+    ("My apologies, this is not a request that I could ever assist with.", "refusal"),
+    ("Rewriting this content goes against what I was made for, so I will not do it.", "refusal"),
+    ("Leider kann ich diese Anfrage nicht bearbeiten, der Inhalt ist mir nicht erlaubt.", "refusal"),
+    ("Mi dispiace, ma non posso riscrivere questo testo.", "refusal"),
+    ("Je regrette, mais je ne vais pas reformuler ce texte.", "refusal"),
+    ("Here is a version of the passage that keeps all of its facts and figures and follows the request to be brief, plain and friendly to readers of any age who may not know the town:\n\n" + SOURCE, "copy"),
+    ("Certainly.\n" + GOOD, None),
+    (GOOD + " The board says that it will not lend to anyone who cannot sign.", None),
+    (GOOD.replace("many visits", "countless visits"), None),
+    (" ".join(["The archive of the town is full of letters and maps."] * 500) + " I'm sorry, but I cannot rewrite this text.", "refusal"),
+    (" ".join(["The archive of the town holds many letters and maps."] * 500) + " It was built in the", "truncated"),
+]
+
+
+def test_held_out_answers(spark):
+    rows = [(i, 1, a, 2, "stop") for i, (a, _) in enumerate(HELD_OUT)] + [(500 + i, 1, a, 2, "stop") for i, (a, _) in enumerate(ANSWERS)] + [(1000 + i, 1, GOOD + f" Note {i}.", 2, "stop") for i in range(150)]
+    rewritten = spark.createDataFrame(rows, "rewrite_id long, doc_id long, rewritten string, status int, finish_reason string")
+    found = {r["rewrite_id"]: r["defect"] for r in defects.first_defect(defects.defect_labels(rewritten, spark.createDataFrame([(1, SOURCE)], "doc_id long, text string"))).collect()}
+    wrong = {i: (found.get(i), w) for i, (_, w) in enumerate(HELD_OUT) if found.get(i) != w}
+    print(f"{len(wrong)} of {len(HELD_OUT)} held-out answers are judged otherwise: {wrong}")
+    assert len(wrong) <= len(HELD_OUT) // 10
+
+
+def test_languages_by_trigrams():
+    from budgetloom.llm.languages import by_trigrams
+
+    for lang, text in (("en", "She walked along the river until it was dark."), ("de", "Am Abend gingen wir noch durch den Wald nach Hause."), ("it", "La sera siamo tornati a casa lungo il fiume."), ("nl", "In de avond liepen we langs de rivier naar huis."), ("pl", "Wieczorem wróciliśmy do domu wzdłuż rzeki."), ("fr", "Le soir nous sommes rentrés à la maison par le bord de la rivière.")):
+        assert by_trigrams(text)[0] == lang
+    assert by_trigrams("") == ("", 0.0) and by_trigrams("1234 5678 !!") == ("", 0.0)
+
+
 def test_label_model_learns_from_agreement():
     rng = np.random.default_rng(0)
     truth = rng.random(20_000) < 0.05
