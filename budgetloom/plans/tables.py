@@ -14,15 +14,20 @@ def topic_of(c: str = "topic") -> Column:
     return F.coalesce(F.lower(F.trim(c)), F.lit("(none)"))
 
 
+def one_row(df: DataFrame, keys: list[str], **columns: str | Column) -> DataFrame:
+    """One of the rows of each key, the least by the columns in their order: never a mix of several rows."""
+    named = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()]
+    return df.groupBy(*keys).agg(F.min(F.struct(*named)).alias("__row")).select(*keys, "__row.*")
+
+
 def scored(spark: SparkSession, d: str) -> DataFrame:
     """The scored pool, one row per document; texts are not read.
 
     Documents need a positive length and all three percentiles.
     """
     pool = table(spark, d, "pool").where("tok > 0 and doc_id is not null and fasttext_ranking_v2 is not null and fineweb_edu_ranking_v2 is not null and modernbert_ranking_v2 is not null")
-    once = pool.groupBy("doc_id").agg(
-        F.min("orig_doc_id").alias("orig_doc_id"), F.min("tok").cast("long").alias("len"), F.min("fasttext").alias("raw"), F.min("fasttext_ranking_v2").alias("s1"), F.min("fineweb_edu_ranking_v2").alias("s2"),
-        F.min("modernbert_ranking_v2").alias("s3"), F.min(topic_of()).alias("topic"),
+    once = one_row(
+        pool, ["doc_id"], orig_doc_id="orig_doc_id", len=F.col("tok").cast("long"), raw="fasttext", s1="fasttext_ranking_v2", s2="fineweb_edu_ranking_v2", s3="modernbert_ranking_v2", topic=topic_of(),
     )
     q = once.withColumn("q", consensus("s1", "s2", "s3"))
     v = q.withColumn("v", disagreement("q", "s1", "s2", "s3"))
@@ -31,7 +36,7 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
 
 def texts(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, text, tokens): the pool's wide column, once per document; join it late."""
-    return table(spark, d, "pool").where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"), F.min(F.coalesce("tokens_llama2", F.lit(0))).cast("long").alias("tokens"))
+    return table(spark, d, "pool").where("doc_id is not null").transform(one_row, ["doc_id"], text="text", tokens=F.coalesce("tokens_llama2", F.lit(0)).cast("long"))
 
 
 PASS_COLUMNS = ["doc_id", "setting", "pass_name", "shard_index", "rewritten_tokens", "status", "wrap_style", "finish_reason", "input_tokens_qwen"]
@@ -40,11 +45,11 @@ PASS_COLUMNS = ["doc_id", "setting", "pass_name", "shard_index", "rewritten_toke
 def passes(spark: SparkSession, d: str, text: bool = False) -> DataFrame:
     """Rewritten rows, once a rewrite_id; the text only where it is asked for."""
     columns = [*PASS_COLUMNS, *(["rewritten"] if text else [])]
-    return table(spark, d, "rewritten").groupBy("rewrite_id").agg(*(F.min(c).alias(c) for c in columns))
+    return one_row(table(spark, d, "rewritten"), ["rewrite_id"], **{c: c for c in columns})
 
 
 def second_scores(spark: SparkSession, d: str) -> DataFrame:
     """Rescored rewrites, once per document and pass, with their length."""
     t = table(spark, d, "scored_rewrites")
-    once = t.groupBy("doc_id", "pass_name").agg(F.min("status").alias("status"), F.min("rewritten_tokens").alias("rewritten_tokens"), F.min("rewritten_fasttext_score").alias("score"), F.min("rewritten_fasttext_ranking_v2").alias("ranking"))
+    once = one_row(t, ["doc_id", "pass_name"], status="status", rewritten_tokens="rewritten_tokens", score="rewritten_fasttext_score", ranking="rewritten_fasttext_ranking_v2")
     return once.withColumn("len", (F.coalesce("rewritten_tokens", F.lit(0)) + 1).cast("long"))

@@ -33,6 +33,7 @@ def sessions(events: DataFrame, gap: str = STALE) -> DataFrame:
 def stream_counts(spark: SparkSession, path: str, schema, window: str = "1 day", late: str = "2 days") -> DataFrame:
     """(day, event_type, beats): windowed counts of the event files, read as a stream until all are taken.
 
+    State behind the watermark is dropped; a window's last count is its result.
     The query's checkpoint and its result lie in the shared work folder, so that
     a lost executor or a restart continues where it stopped.
     """
@@ -45,19 +46,25 @@ def stream_counts(spark: SparkSession, path: str, schema, window: str = "1 day",
     counts = read.withWatermark("ts", late).groupBy(F.window("ts", window).alias("w"), "event_type").agg(F.count("*").cast("long").alias("beats"))
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "beats").write.mode("overwrite").parquet(f"{at}/out")
+        # what a batch changed, under the batch's number: a batch that is repeated after a failure replaces itself
+        batch.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "beats").write.mode("overwrite").parquet(f"{at}/out/batch={number}")
 
-    query = counts.writeStream.outputMode("complete").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
+    query = counts.writeStream.outputMode("update").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return spark.read.parquet(f"{at}/out")
+    return spark.read.parquet(f"{at}/out").groupBy("day", "event_type").agg(F.max_by("beats", "batch").alias("beats"))
 
 
 def rewrite_new(spark: SparkSession, source: str, schema, rewrite, out: str, checkpoint: str) -> None:
-    """Rewrite the source shards that have not been rewritten yet, once each.
+    """Rewrite the source shards that have not been rewritten yet, exactly once each.
 
-    rewrite maps a DataFrame of (doc_id, text, ...) to its output.  Shards done
-    in an earlier run are in the checkpoint and are not read again.
+    rewrite maps a DataFrame of (doc_id, text, ...) to its output.  Each batch of
+    shards is written under its number and replaces what a failed try of it left;
+    shards of committed batches are in the checkpoint and are not read again.
     """
+
+    def write(batch: DataFrame, number: int) -> None:
+        rewrite(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
     read = spark.readStream.schema(schema).parquet(source)
-    query = read.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: rewrite(batch).write.mode("append").parquet(out)).start()
+    query = read.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(write).start()
     query.awaitTermination()
