@@ -187,7 +187,7 @@ def pack(sizes: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     whole = over_batches(ranked, place, f"container_id long, `{key}` {kind}, part int, tokens long", 100_000)
     # a document's full containers: numbered after the others, by document
     big = items.where("full > 0").select(key, F.explode(F.sequence(F.lit(1), F.col("full"))).alias("i"))
-    big = salted_rank(big.withColumn("one", F.lit(1)), ["one"], [key, "i"])
+    big = salted_rank(big.withColumn("one", F.lit(1)), ["one"], [key, "i"], 4096)
     cut = big.select((F.col("rank") + base).alias("container_id"), F.col(key), (F.col("i") - 1).cast("int").alias("part"), F.lit(capacity).cast("long").alias("tokens"))
     return whole.unionByName(cut)
 

@@ -85,7 +85,7 @@ def token_budget(final: DataFrame, pool: DataFrame, path: str | None = None) ->
     """
     counted = count_tokens(final, ["orig_doc_id", "source_prompt"], "text", "piece", path)
     once = counted.groupBy("orig_doc_id", "source_prompt").agg(F.max("n_tokens").alias("n_tokens"))
-    of_pool = pool.groupBy("doc_id").agg(F.max("lang").alias("lang"), F.max(F.lower(F.trim("topic"))).alias("topic"))
+    of_pool = pool.groupBy("doc_id").agg(F.max("lang").alias("lang"), F.max(F.lower(F.regexp_replace("topic", r"^\s+|\s+$", ""))).alias("topic"))
     none = F.lit("(none)")
     return (
         once.join(of_pool, once.orig_doc_id == of_pool.doc_id, "left")
