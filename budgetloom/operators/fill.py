@@ -110,12 +110,14 @@ def running_sum(df: DataFrame, order: list[Column], amount: str | Column, lead:
     )
 
 
-def hash_fill(df: DataFrame, key: str, length: str, group: list[str], quotas: DataFrame, seed: int, buckets: int = 1024) -> DataFrame:
+def hash_fill(df: DataFrame, key: str, length: str, group: list[str], quotas: DataFrame, seed: int, buckets: int = 1024, coin: bool = False) -> DataFrame:
     """Rows drawn at random in each group until their lengths reach its quota, the last one whole.
 
     quotas: the group's columns, ``quota`` (sum of lengths) and ``floor`` (rows
-    that are drawn in any case); groups without a line are left out.  The order
-    is the hash of seed and key, then the key.  A group that holds a third of
+    that are drawn in any case); groups without a line are left out.  With
+    ``coin`` the last row, the one that crosses the quota, is drawn with the
+    chance of its part below it, so that the expected sum is the quota.  The
+    order is the hash of seed and key, then the key.  A group that holds a third of
     all rows is spread over ``buckets`` sorts.
     """
     h = F.xxhash64(F.lit(seed), F.col(key))
@@ -128,4 +130,8 @@ def hash_fill(df: DataFrame, key: str, length: str, group: list[str], quotas: Da
     rows = hashed.join(offsets, [*group, "__b"])
     rows = rows.withColumn("__before", F.coalesce(F.sum(length).over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("__so"))
     rows = rows.withColumn("__rank", F.row_number().over(inner) - 1 + F.col("__no"))
-    return rows.where("__before < quota or __rank < floor").drop("__h", "__b", "__so", "__no", "__before", "__rank", "quota", "floor")
+    drawn = F.col("__before") < F.col("quota")
+    if coin:
+        part = (F.col("quota") - F.col("__before")) / F.col(length)
+        drawn = drawn & (F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(1 << 20)) < part * (1 << 20))
+    return rows.where(drawn | (F.col("__rank") < F.col("floor"))).drop("__h", "__b", "__so", "__no", "__before", "__rank", "quota", "floor")

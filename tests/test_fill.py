@@ -111,3 +111,11 @@ def test_strict_fill_stops(spark):
         strict_fill(df, [F.col("k").asc()], "n", 31, "base", Lead(F.col("k"), False))
     with pytest.raises(Stop):
         strict_fill(df.limit(0), [F.col("k").asc()], "n", 1, "base", Lead(F.col("k"), False))
+
+
+def test_hash_fill_with_a_coin_is_right_on_average(spark):
+    """Many groups whose last row is much larger than what is left: their sums add up to the quotas."""
+    df = spark.range(40_000).select(F.col("id").alias("k"), F.pmod("id", F.lit(400)).alias("g"), (F.col("id") % 89 + 30).cast("long").alias("n"))
+    quotas = spark.range(400).select(F.col("id").alias("g"), F.lit(1000).cast("long").alias("quota"), F.lit(0).alias("floor"))
+    one = lambda **kw: hash_fill(df, "k", "n", ["g"], quotas, 5, buckets=4, **kw).agg(F.sum("n")).first()[0]
+    assert abs(one(coin=True) - 400_000) < 4_000 < one() - 400_000
