@@ -145,12 +145,13 @@ def draw(plan: Plan, seed: int = 1) -> DataFrame:
     """(doc_id, topic, tok): the drawn rows, each key once.
 
     In each cell rows are drawn in a random order until the cell's tokens are
-    reached, the last one whole, and its floor of records in any case.  The draw
+    reached, the last one by a coin, so that the cells' sums are right on
+    average, and its floor of records in any case.  The draw
     depends on seed and keys alone.
     """
     cells = [(c, s, int(plan.token_quota.get((c, s), 0)), int(plan.floor_quota.get((c, s), 0))) for c, s in plan.tokens]
     rows = plan.rows.withColumn("second", plan.second_class())
-    drawn = hash_fill(rows, "key", "length", ["category", "second"], plan.table(cells, "category string, second string, quota long, floor long"), seed)
+    drawn = hash_fill(rows, "key", "length", ["category", "second"], plan.table(cells, "category string, second string, quota long, floor long"), seed, coin=True)
     return drawn.select(F.col("key").alias("doc_id"), F.col("category").alias("topic"), F.col("length").alias("tok"))
 
 
