@@ -234,7 +234,8 @@ def language_votes(answer: str, words: list[str], of_source: str, source: str) -
     if not of_source or not words:
         return [-1, -1, 0, 0, 0]
     lang, clear = language(answer, words)
-    shares = language_shares(answer)
+    # where all frequent words are of one language, so are all sentences that have any
+    shares = {lang: 1.0} if clear == 1.0 and not _BEYOND.search(answer) else language_shares(answer)
     other = sum(v for k, v in shares.items() if k != of_source)
     marks, marks_of_source = by_marks(answer), by_marks(source)
     grams, surely = ("", 0.0) if _script(answer) or _script(source) else by_trigrams(answer)

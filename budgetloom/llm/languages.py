@@ -8,6 +8,7 @@ likeliest, whatever its length.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +33,9 @@ SAMPLES = {
 BUCKETS, UNSEEN = 1 << 14, 0.25
 
 
+_NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
 def _trigrams(text: str) -> np.ndarray:
     points = np.frombuffer(f"  {' '.join(text.lower().split())} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
     if len(points) < 3:
@@ -51,7 +55,7 @@ def _profiles() -> tuple[list[str], np.ndarray]:
 
 def by_trigrams(text: str) -> tuple[str, float]:
     """(language, how much likelier a trigram is under it than under the next one); ('', 0) for a text without letters."""
-    grams = _trigrams("".join(c if c.isalpha() else " " for c in text))
+    grams = _trigrams(_NO_LETTERS.sub(" ", text))
     if len(grams) < 12:
         return "", 0.0
     names, logs = _profiles()
