@@ -292,6 +292,7 @@ ABUSIVE_SIDE = [
     "My landlord is a pathetic scumbag.",
     "You are an asssshole, Martha.",
     "Sie sind ein widerlicher Versager.",
+    "I told you before, you moron.",
 ]
 ORDINARY_SIDE = [
     'The leaflet said: "All settlers are vermin. Throw them out!" A court banned it.',
@@ -299,6 +300,10 @@ ORDINARY_SIDE = [
     "The inspector wrote in a long and detailed letter to the council of the town last spring that the owner had shouted at him: you are a stupid idiot and a liar.",
     "The poster in the museum reads:\nAll settlers are vermin.\nIt was printed long ago.",
     "Example: you are a moron.",
+    "The guard wrote 'you are a moron' on the wall, and he was fined for it.",
+    "The guard wrote <q>you are a moron</q> on the wall, and he was fined for it.",
+    "If you call a referee a moron, you may be fined.",
+    "She came in, psychology has deficient and debilitating sides, and until she came home we were on vacation.",
     "The process is dead, kill it and free the memory.",
     "The plan was a failure, and the garbage lay in the rain.",
 ]
