@@ -361,3 +361,10 @@ def test_wrapped_lines_disguises_and_words_of_other_fields():
     assert [t for t in FIELDS if found(t)] == []
     assert abuse.plain("il a dit « va là\u00a0» puis") == "il a dit « va là » puis"
     assert abuse.plain("a line\nThe next") == "a line\nthe next" and abuse.plain("one\nsentence") == "one sentence"
+
+
+def test_who_is_named_and_who_is_not():
+    s = abuse.scorer()
+    found = lambda t: max(s.distances(abuse.plain(t)), default=0.0) >= abuse.THRESHOLD
+    assert [t for t in ("They are morons.", "Learn to drive, you stupid moron!", "The author of this page is a pathetic moron.", "You will be sorry, moron.") if not found(t)] == []
+    assert [t for t in ("Her stupid lazy day ended, and he sold a dirty cart.", "He fed the pigs, and all the animals slept.", "Rats in the barn are thrown out.") if found(t)] == []
